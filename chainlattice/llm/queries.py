@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import url_filter
+from . import mixing, quality_model, quality_rules, url_filter
 from .common import table
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    weights = quality_model.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out()))
+    scored = quality_model.score(docs, weights)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality_model.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     return url_filter.filter_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op9_url_filter": op9_url_filter}
+QUERIES = {"op5_mix": op5_mix, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
 ORACLE_SQL = {"op9_url_filter": url_filter.ORACLE}
