@@ -5,10 +5,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_model, quality_rules, url_filter
+from . import decontamination, line_dedup, mixing, pii, quality_model, quality_rules, secret_scan, url_filter
+from . import spans as S
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(secret_scan.samples(spark)))
+    return found.select(
+        "doc_id",
+        *[S.count(F.col("base"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(S.listed(F.col("base")), 256).alias("base_sha256"),
+        S.listed(S.by_start(F.concat("base", "added"))).alias("spans"),
+    )
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *[S.count(F.col("base"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+        F.sha2(S.listed(F.col("base")), 256).alias("base_sha256"),
+        S.listed(S.by_kind(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
@@ -33,5 +64,5 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op5_mix": op5_mix, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
 ORACLE_SQL = {"op9_url_filter": url_filter.ORACLE}
