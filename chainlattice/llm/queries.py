@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, line_dedup, mixing, pii, quality_model, quality_rules, secret_scan, url_filter
+from . import decontamination, jaccard_join, line_dedup, mixing, pii, quality_model, quality_rules, secret_scan, token_output, url_filter
 from . import spans as S
 from .common import table
 
@@ -19,6 +20,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = secret_scan.scan(docs, secret_scan.train(secret_scan.samples(spark)))
@@ -44,6 +49,10 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -64,5 +73,5 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op2_jaccard_join": op2_jaccard_join, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op6_token_output": op6_token_output, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
 ORACLE_SQL = {"op9_url_filter": url_filter.ORACLE}
