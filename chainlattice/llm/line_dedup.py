@@ -6,9 +6,11 @@ have MIN_LINES lines or more; a text's last chunk may be shorter and is then lef
 
 First pass: the chunks' 128-bit hashes. Those that occur more than once are repeated, and the first
 occurrence (smallest key, nulls last, then smallest text hash and place) stays. Second pass: the
-texts of repeated chunks alone are fetched and each is compared with its first occurrence byte by
-byte; equal ones go. Chunk texts are matched in salted groups that grow with the number of
-occurrences (one salt for each SALT of them), and counts are pre-aggregated before the shuffle.
+texts of chunks whose hash may be repeated, by a bitmap of FILTER bits of all repeated hashes (8 MB,
+however large the corpus; a full bitmap lets more texts through, never fewer), are written out, and
+each repeated one is compared with its first occurrence byte by byte; equal ones go. Counts are
+pre-aggregated before the shuffle; the comparison is a sort-merge join of two written tables, whose
+hot hashes adaptive execution can split.
 
 Cases: null texts stay null; empty ones stay empty. Identical rows (same key and text) are treated
 alike and lose the same chunks: one of them is no earlier occurrence of the other. A chunk repeated
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import durable
 
-WINDOW, EVERY, MIN_LINES, SALT = 2, 3, 2, 4096
+WINDOW, EVERY, MIN_LINES, FILTER = 2, 3, 2, 1 << 26
 
 
 def chunks(data: bytes) -> list[tuple[int, list[bytes]]]:
@@ -54,47 +56,55 @@ def _repeatable(data: bytes) -> Iterator[tuple[int, bytes]]:
     return ((first, b"\n".join(own)) for first, own in chunks(data) if len(own) >= MIN_LINES)
 
 
+def _bucket(digest: bytes) -> int:
+    return int.from_bytes(digest[:4], "little") % FILTER
+
+
 def _same(a: DataFrame, b: DataFrame) -> Column:
     return a["key"].eqNullSafe(b["key"]) & (a["print"] == b["print"])
 
 
+def _bitmap(digests: DataFrame) -> np.ndarray:
+    """One bit for each bucket, set where a digest falls into it."""
+    parts = digests.select((F.col("bucket") + 1).alias("value")).groupBy(F.bitmap_bucket_number("value").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bits")).collect()
+    out = np.zeros(FILTER // 8, np.uint8)
+    for part in parts:
+        out[(part.bucket - 1) * len(part.bits) : part.bucket * len(part.bits)] = np.frombuffer(bytes(part.bits), np.uint8)
+    return out
+
+
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, text without the repeated chunks, n_lines, n_removed (lines) and n_chunks (removed)."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(i, at, xxhash.xxh3_128_digest(t)) for i, data in enumerate(batch.column(2).cast(pa.binary()).to_pylist()) if data for at, t in _repeatable(data)]
-            if found:
-                row, at, digest = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(at, pa.int32()), pa.array(digest, pa.binary())], names=["key", "print", "at", "digest"])
+    def listed(batch: pa.RecordBatch, keep=None) -> pa.RecordBatch | None:
+        """A row for each chunk of a batch: key, print, at, digest and bucket or, of those to keep, the bytes."""
+        found = [(i, at, xxhash.xxh3_128_digest(t), t) for i, data in enumerate(batch.column(2).cast(pa.binary()).to_pylist()) if data for at, t in _repeatable(data)]
+        if keep is not None:
+            bits = np.array([_bucket(f[2]) for f in found], np.int64)
+            found = [f for f, k in zip(found, (keep[bits >> 3] >> (bits & 7) & 1).tolist(), strict=True) if k]
+        if not found:
+            return None
+        row, at, digest, chunk = zip(*found, strict=True)
+        columns = [*(batch.column(c).take(pa.array(row)) for c in (0, 1)), pa.array(at, pa.int32()), pa.array(digest, pa.binary())]
+        last = pa.array([_bucket(d) for d in digest], pa.int64()) if keep is None else pa.array(chunk, pa.binary())
+        return pa.RecordBatch.from_arrays([*columns, last], names=["key", "print", "at", "digest", "bucket" if keep is None else "chunk"])
 
-    every = durable(rows.mapInArrow(hashed, f"key {kind}, print long, at int, digest binary"), "chunks")
-    place = F.struct(F.col("key").isNull().alias("null"), "key", "print", "at")
-    repeated = durable(every.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "repeated")
-    wanted = (
-        every.join(repeated, "digest")
-        .withColumn("salts", (F.col("n") / SALT).cast("int") + 1)
-        .groupBy("key", "print")
-        .agg(F.collect_set(F.struct("at", "digest", (place == F.col("first")).alias("is_first"), "salts")).alias("wanted"))
-    )
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from filter(None, map(listed, batches))
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for i, (data, want) in enumerate(zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist(), strict=True)):
-                own = dict(_repeatable(data))
-                found += [(i, w["at"], w["digest"], w["is_first"], w["salts"], own[w["at"]]) for w in want]
-            if found:
-                row, *rest = zip(*found, strict=True)
-                kinds = (pa.int32(), pa.binary(), pa.bool_(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(row)) for c in (0, 1)), *(pa.array(x, k) for x, k in zip(rest, kinds, strict=True))], names=["key", "print", "at", "digest", "is_first", "salts", "chunk"])
-
-    texts = durable(rows.join(wanted, _same(rows, wanted)).select(rows["key"], rows["print"], "text", "wanted").mapInArrow(fetched, f"key {kind}, print long, at int, digest binary, is_first boolean, salts int, chunk binary"), "texts")
-    first = texts.where("is_first").dropDuplicates(["digest"]).select("digest", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("chunk").alias("first_chunk"))
-    later = texts.where("not is_first").withColumn("salt", F.pmod(F.xxhash64("key", "at"), F.col("salts")).cast("int"))
-    gone = durable(later.join(first, ["digest", "salt"]).where("chunk = first_chunk").groupBy("key", "print").agg(F.collect_set("at").alias("gone")), "gone")
+        yield from filter(None, (listed(batch, shared.value) for batch in batches))
+
+    every = rows.mapInArrow(hashed, f"key {kind}, print long, at int, digest binary, bucket long")
+    place = F.struct(F.col("key").isNull().alias("null"), "key", "print", "at")
+    repeated = durable(every.groupBy("digest", "bucket").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"), "repeated")
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(repeated))
+    texts = durable(rows.mapInArrow(fetched, f"key {kind}, print long, at int, digest binary, chunk binary"), "texts")
+    first = durable(texts.join(repeated.hint("merge"), "digest").where(place == F.col("first")).select("digest", F.col("chunk").alias("first_chunk"), "first").dropDuplicates(["digest"]), "first")
+    gone = texts.join(first.hint("merge"), "digest").where((place != F.col("first")) & (F.col("chunk") == F.col("first_chunk"))).groupBy("key", "print").agg(F.collect_set("at").alias("gone"))
+    gone = durable(gone, "gone")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,5 +123,5 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
                 new, *numbers = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string()), *(pa.array(x, pa.int64()) for x in numbers)], names=["key", "text", "n_lines", "n_removed", "n_chunks"])
 
-    whole = rows.join(gone, _same(rows, gone), "left").select(rows["key"], "text", "gone")
+    whole = rows.join(gone.hint("merge"), _same(rows, gone), "left").select(rows["key"], "text", "gone")
     return whole.mapInArrow(cut, f"key {kind}, text string, n_lines long, n_removed long, n_chunks long").withColumnsRenamed({"key": key, "text": text})
