@@ -1,0 +1,53 @@
+"""Pattern scan of source trees: names and contents against a table of patterns, plain and with the
+seams of concatenated literals taken out."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.text import deobfuscate
+
+SKIPPED = {".git", "__pycache__", ".venv", "venv", "node_modules", ".pytest_cache", ".ruff_cache", ".mypy_cache", "build", "dist"}
+BINARY = (".png", ".jpg", ".jpeg", ".gif", ".pdf", ".zip", ".gz", ".parquet", ".pyc", ".so", ".ico", ".woff", ".woff2")
+PATTERN = "name string, pattern string, scope string"
+
+
+def files(root: str) -> list[tuple[str, bytes | None, bool]]:
+    """Every file below root: relative path, content (null: binary or unreadable) and unreadable. Links
+    are kept by name and not followed."""
+    out = []
+    for folder, names, found in os.walk(root):
+        names[:] = sorted(n for n in names if n not in SKIPPED and not os.path.islink(os.path.join(folder, n)))
+        for name in sorted(found):
+            path = os.path.join(folder, name)
+            where, data, bad = os.path.relpath(path, root), None, False
+            if not os.path.islink(path) and not name.lower().endswith(BINARY):
+                try:
+                    with open(path, "rb") as f:
+                        data = f.read()
+                except OSError:
+                    bad = True
+            out.append((where, data, bad))
+    return out
+
+
+def tree(spark: SparkSession, root: str) -> DataFrame:
+    return spark.createDataFrame(files(root), "path string, data binary, unreadable boolean").withColumn("text", F.decode(F.col("data"), "UTF-8"))
+
+
+def violations(rows: DataFrame, patterns: DataFrame, exempt: DataFrame | None = None) -> DataFrame:
+    """path, name of the pattern, match and obfuscated. rows: path, text; patterns: name, pattern, scope
+    ("path" or "text"), a table of rules that is small by nature; exempt: path, name. The plain text is
+    looked at first, the joined one only where the plain has no match."""
+    own = [(r.name, r.pattern, r.scope) for r in patterns.collect()]
+    joined = rows.withColumn("__joined", deobfuscate(F.col("text")))
+    checks = []
+    for name, pattern, scope in own:
+        plain = F.regexp_extract(F.col("path" if scope == "path" else "text"), f"({pattern})", 1)
+        hidden = F.lit("") if scope == "path" else F.regexp_extract("__joined", f"({pattern})", 1)
+        checks.append(F.struct(F.lit(name).alias("name"), F.coalesce(F.nullif(plain, F.lit("")), F.nullif(hidden, F.lit(""))).alias("match"), (F.coalesce(plain, F.lit("")) == "").alias("obfuscated")))
+    found = joined.select("path", F.inline(F.array(*checks))).where("match is not null")
+    return found if exempt is None else found.join(exempt.select("path", "name"), ["path", "name"], "left_anti")
