@@ -59,5 +59,5 @@ def split_at_starts(text: Column, vocabulary: list[str]) -> Column:
 
 
 def deobfuscate(source: Column) -> Column:
-    """Source code with the seams of concatenated string literals taken out: "ab" + "cd" is "abcd"."""
-    return F.regexp_replace(source, r"""(["'])\s*\+?\s*(?:\\\n)?\s*[rbfuRBFU]?\1""", "")
+    """Source code with the seams between string literals taken out: "ab" + "cd", or "ab" "cd", is "abcd"."""
+    return F.regexp_replace(source, r"""["'](?:\s*\+\s*|\s+)["']""", "")

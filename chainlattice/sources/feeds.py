@@ -172,6 +172,23 @@ def label_list(docs: DataFrame) -> DataFrame:
     return out.select("idx", F.when(F.col("by") == "address", F.coalesce("address", "key")).otherwise(F.col("address")).alias("address"), "label", "nameTag", "name", F.when(F.col("by") == "category", F.coalesce("category", "key")).otherwise(F.col("category")).alias("category"), "chainId")
 
 
+def checkout(spark: SparkSession, root: str) -> DataFrame:
+    """Project files of a checkout for bridges.registry: path, project, body (tvs.json), declaration
+    (the .ts file of the same folder and name, null without one) and ord."""
+    folder = F.regexp_extract("path", r"^(.*)/[^/]+\z", 1)
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body")).withColumn("folder", folder)
+    name = F.substring_index("folder", "/", -1)
+    tvs = files.where(F.endswith("path", F.lit("/tvs.json"))).withColumn("project", F.coalesce(F.get_json_object("body", "$.projectId"), name))
+    source = files.where(F.endswith("path", F.concat(F.lit("/"), name, F.lit(".ts")))).select("folder", F.col("body").alias("declaration"))
+    return tvs.join(source, "folder", "left").select("path", "project", "body", "declaration", F.col("path").alias("ord"))
+
+
+def fresh(files: DataFrame, hours: float) -> DataFrame:
+    """Files of a cache that are younger than so many hours; none is too old if hours is 0 or less.
+    files: path and modified (a timestamp)."""
+    return files if hours <= 0 else files.where((F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("modified")) <= hours * 3600)
+
+
 def action_links(indexes: DataFrame) -> DataFrame:
     """Sorted distinct links to action pages, of index pages and of a site map."""
     both = F.concat(links(F.col("body"), r'href="(/recent-actions/[0-9a-zA-Z_\-\.]+)"'), links(F.col("body"), r"<loc>https://ofac\.treasury\.gov(/recent-actions/[0-9a-zA-Z_\-\.]+)</loc>"))

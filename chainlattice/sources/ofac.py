@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.address import EVM, infer_chain
 from ..functions.chains import strip
+from ..operators.dedupe import first_wins
 from ..operators.mixers import FEATURE_CHAINS
 from ..schema import LABEL
 
@@ -60,6 +61,18 @@ def read_enhanced(spark: SparkSession, path: str) -> DataFrame:
     return each.where(F.col("f.type._VALUE").rlike(prefix)).select("entity_id", "entity_name", "programs", F.regexp_extract("f.type._VALUE", prefix, 1).alias("currency"), F.trim("f.value").alias("address"))
 
 
+def distinct_wallets(rows: DataFrame) -> DataFrame:
+    """The first row of each address and currency, by entity."""
+    return first_wins(rows, ["address", "currency"], ["entity_id", "entity_name"])
+
+
+def wallet_records(rows: DataFrame, day: str) -> DataFrame:
+    """Wallets of the enhanced list as raw records; those whose chain nothing tells are left out."""
+    name = F.coalesce(F.nullif("entity_name", F.lit("")), F.concat(F.lit("OFAC SDN "), "entity_id"))
+    named = rows.select("address", infer_chain(F.col("currency"), F.col("address")).alias("chain"), name.alias("entity_name"), F.col("entity_id").alias("sdn_id"))
+    return records(named, day).withColumn("sanctions_reference", F.concat(F.lit("OFAC "), "sanctions_reference")).drop("source_url")
+
+
 def read_advanced(spark: SparkSession, path: str) -> DataFrame:
     """The advanced XML: one row for each crypto feature of a party, with aliases and programs.
 

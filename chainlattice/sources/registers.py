@@ -39,6 +39,13 @@ BUREAUS = {
 }
 LEGAL_FORMS = (" AG", " SA", " S.A.", " GMBH", " SARL", " S.A.R.L.", " AKTIENGESELLSCHAFT", " LIMITED", " LTD", " LTD.", " LLC", " HOLDING")
 VATP = 101
+TRON_ENTITIES = {
+    "Binance": ("Binance", "KY"), "HTX": ("HTX", "SC"), "Huobi": ("HTX", "SC"), "OKX": ("OKX", "KY"), "Bybit": ("Bybit", "AE"), "KuCoin": ("KuCoin", "SC"), "Kucoin": ("KuCoin", "SC"), "Kraken": ("Kraken", "US"),
+    "Gate": ("Gate.io", "KY"), "MXC": ("MEXC", "SC"), "MEXC": ("MEXC", "SC"), "Bitfinex": ("Bitfinex", "VG"), "Bithumb": ("Bithumb", "KR"), "Upbit": ("Upbit", "KR"), "Poloniex": ("Poloniex", "US"),
+    "BigONE": ("BigONE", "HK"), "BitPanda": ("Bitpanda", "AT"), "Bitpanda": ("Bitpanda", "AT"), "FixedFloat": ("FixedFloat", "unknown"), "CoinSpot": ("CoinSpot", "AU"), "Vaneck": ("VanEck", "US"),
+    "Heleket": ("Heleket", "unknown"), "TronLucky": ("TronLucky", "unknown"), "WestWallet": ("WestWallet", "unknown"),
+}
+TRON_OTHERS = ("SR", "JustLend", "SunSwap", "Stake")
 
 
 def _or_null(c: Column) -> Column:
@@ -294,13 +301,25 @@ def jfsa(cells: DataFrame, day: str, url: str) -> DataFrame:
     return rows.select(*record("jp_jfsa", "jp_jfsa_register", address, name, "JP", F.col("l.full"), "Financial Services Agency (JP JFSA)", "active", url, day, extras))
 
 
-def tronscan(accounts: DataFrame, vasps: dict[str, tuple[str, str | None]], day: str, url: str = "https://apilist.tronscanapi.com") -> DataFrame:
-    """Public tags of accounts (address, tag): the first word tells a known entity (name, jurisdiction);
-    others of exchanges are depositors' wallets, and the rest is left out."""
-    first = F.lower(F.regexp_extract(strip(F.col("tag")), r"^([A-Za-z0-9.]+)", 1))
-    known = F.create_map(*[x for k, (n, j) in vasps.items() for x in (F.lit(k), F.struct(F.lit(n).alias("n"), F.lit(j).cast("string").alias("j")))])
-    rows = accounts.where("coalesce(tag, '') != ''").withColumn("v", F.try_element_at(known, first))
-    category = F.when(F.col("v").isNotNull(), "vasp").otherwise("exchange_depositor")
+def tag_entity(tag: Column) -> Column:
+    """entity, category and jurisdiction of an account's public tag, by its first word; null: not an
+    exchange. Unknown words are taken as depositors' wallets."""
+    first = F.regexp_replace(F.get(F.split(strip(F.substring_index(tag, "-", 1)), r"\s+"), F.lit(0)), ":+$", "")
+    known = F.create_map(*[x for k, (n, j) in TRON_ENTITIES.items() for x in (F.lit(k), F.struct(F.lit(n).alias("n"), F.lit(j).alias("j")))])
+    found = F.try_element_at(known, first)
+    out = F.struct(F.coalesce(found["n"], first).alias("entity"), F.when(found.isNotNull() & ~first.isin("Vaneck", "SR"), "vasp").otherwise("exchange_depositor").alias("category"), F.coalesce(found["j"], F.lit("unknown")).alias("jurisdiction"))
+    return F.when((first != "") & ~first.isin(*TRON_OTHERS), out)
+
+
+def read_tronscan(spark: SparkSession, path: str) -> DataFrame:
+    """Landed pages of accounts: address, tag and ord."""
+    page = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.from_json("value", "data array<struct<address:string,addressTag:string,publicTag:string>>")["data"]).alias("pos", "a"))
+    return page.select(F.col("a.address").alias("address"), F.coalesce("a.publicTag", "a.addressTag").alias("tag"), F.struct("file", "pos").alias("ord"))
+
+
+def tronscan(accounts: DataFrame, day: str, url: str = "https://apilist.tronscanapi.com") -> DataFrame:
+    """Raw records of tagged accounts (address, tag)."""
+    rows = accounts.withColumn("v", tag_entity(F.col("tag"))).where("v is not null")
     none = F.lit(None).cast("string")
     label = F.struct(F.col("tag").alias("name"), F.lit("exchange").alias("type"), F.lit("tronscan_public").alias("source"), F.lit("tron").alias("chain"), none.alias("subtype"), none.alias("chain_evidence"), F.lit(None).alias("context")).cast(LABEL)
-    return rows.select("address", F.lit("tron").alias("chain"), F.array(label).alias("labels"), F.coalesce("v.n", "tag").alias("entity_name"), category.alias("category"), F.col("v.j").alias("jurisdiction"), F.lit(url).alias("source_url"), F.lit(day).alias("source_date"), F.lit(True).alias("is_exchange"))
+    return rows.select("address", F.lit("tron").alias("chain"), F.array(label).alias("labels"), F.col("v.entity").alias("entity_name"), F.col("v.category").alias("category"), F.col("v.jurisdiction").alias("jurisdiction"), F.lit(url).alias("source_url"), F.lit(day).alias("source_date"), F.lit(True).alias("is_exchange"))

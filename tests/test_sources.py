@@ -161,5 +161,5 @@ def test_registers(spark, tmp_path):
     assert jp["jp_jfsa::license_id::kinki-00031"].extras["_jp_latin_alias"] == "bitFlyer" and jp["jp_jfsa::license_id::kinki-00031"].extras["_jp_registration_date_iso"] == "2019-09-06"
     ny = registers.nydfs(spark.createDataFrame([("Paxos Trust", "BitLicense", "2015-05-07", "active")], "name string, license_type string, license_date string, status string"), "d", "u").first()
     assert ny.address == "nydfs::paxos_trust"
-    tags = spark.createDataFrame([("T1", "Binance-Hot 1"), ("T2", "Who 3"), ("T3", None)], "address string, tag string")
-    assert {r.address: (r.entity_name, r.category) for r in registers.tronscan(tags, {"binance": ("Binance", None)}, "d").collect()} == {"T1": ("Binance", "vasp"), "T2": ("Who 3", "exchange_depositor")}
+    tags = spark.createDataFrame([("T1", "Binance-Hot 1"), ("T2", "Who: 3"), ("T3", None), ("T4", "SR-x"), ("T5", "")], "address string, tag string")
+    assert {r.address: (r.entity_name, r.category) for r in registers.tronscan(tags, "d").collect()} == {"T1": ("Binance", "vasp"), "T2": ("Who", "exchange_depositor")}
