@@ -27,6 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+
+from .common import slices
 
 N, SEEDS, LIMIT, BLOCK = 3, 8, 0.5, 200_000
 MATCH, OTHER, GAP = 2, -1, -1
@@ -147,7 +150,7 @@ def prepared(docs: DataFrame, rows: list[tuple], text: str) -> Items:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, times = shared.value, np.zeros(len(items.grams), np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column(0).to_pylist():
                 times[np.unique(own.found(own.read(t), own.grams)[1])] += 1
         at = np.nonzero(times)[0]
@@ -163,17 +166,18 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     only = docs.select(F.col(key), F.col(text).alias("__text"))
     kinds = f"`{key}` {only.schema[0].dataType.simpleString()}, `{item}` {benchmark.schema[item].dataType.simpleString()}, score double, first_word int, end_word int"
     out = docs.sparkSession.createDataFrame([], kinds)
+    item_type = to_arrow_type(benchmark.schema[item].dataType)
     for rows in blocks(benchmark, item, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(prepared(docs, rows, text))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
-            for batch in batches:
+            for batch in slices(batches):
                 found = [(i, *m) for i, t in enumerate(batch.column(1).to_pylist()) for m in own.matches(t)]
                 if found:
                     at, which, score, low, end = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(at)), pa.array([own.keys[i] for i in which]), pa.array(score), pa.array(low, pa.int32()), pa.array(end, pa.int32())],
+                        [batch.column(0).take(pa.array(at)), pa.array([own.keys[i] for i in which], item_type), pa.array(score), pa.array(low, pa.int32()), pa.array(end, pa.int32())],
                         names=[key, item, "score", "first_word", "end_word"],
                     )
 
@@ -188,7 +192,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
         where = docs.columns.index(text)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, where=where) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not shared.value.matches(t) for t in batch.column(where).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

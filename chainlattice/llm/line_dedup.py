@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, slices
 
 WINDOW, EVERY, MIN_LINES, FILTER = 2, 3, 2, 1 << 26
 
@@ -92,10 +92,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         return pa.RecordBatch.from_arrays([*columns, last], names=["key", "print", "at", "digest", "bucket" if keep is None else "chunk"])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from filter(None, map(listed, batches))
+        yield from filter(None, map(listed, slices(batches)))
 
     def fetched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from filter(None, (listed(batch, shared.value) for batch in batches))
+        yield from filter(None, (listed(batch, shared.value) for batch in slices(batches)))
 
     every = rows.mapInArrow(hashed, f"key {kind}, print long, at int, digest binary, bucket long")
     place = F.struct(F.col("key").isNull().alias("null"), "key", "print", "at")
@@ -107,7 +107,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     gone = durable(gone, "gone")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for data, gone in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 if data is None:

@@ -34,7 +34,9 @@ from pyspark.sql.window import Window
 from .common import durable, n_words
 
 WEIGHTS, CAP, SEED = (1, 2, 3), 3, 20
-BLOCK, BLOCKS, SHARDS = 1 << 20, 1 << 16, 64
+BLOCK, BLOCKS = 1 << 20, 1 << 16
+#: Words of an output shard, and the most shards there are (larger mixes have larger shards).
+SHARD, SHARDS = 1 << 22, 1 << 14
 #: Sources or blocks up to this number are broadcast (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 17
 
@@ -74,14 +76,16 @@ def split(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
     return out
 
 
-def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", carry: tuple[str, ...] = (), shards: int = SHARDS, block: int = BLOCK) -> DataFrame:
-    """Each row's key, size, source_size, target, taken, copies, shards (one for each copy) and the carried columns."""
+def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", carry: tuple[str, ...] = (), shards: int | None = None, block: int = BLOCK) -> DataFrame:
+    """Each row's key, size, source_size, target, taken, copies, shards (one for each copy) and the carried
+    columns. The number of shards follows the number of words, unless it is given."""
     spark = docs.sparkSession
     sized = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
     sized = sized if carry else durable(sized, "sized")  # what is carried is worth reading again
     small = lambda df, n: F.broadcast(df) if n <= BROADCAST_ROWS else df  # noqa: E731  rows of a few numbers each
     found = [(r.source, int(r.n)) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()]
     found.sort(key=lambda x: (x[0] is None, (x[0] or "").encode()))
+    shards = shards or min(SHARDS, -(-sum(n for _, n in found) // SHARD)) or 1
     aims = targets([n for _, n in found], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))])
     info = [
         (i, name, n, aim, full := min(CAP, int(aim // n)) if n else 0, (aim - full * n) if full < CAP else 0.0, min(BLOCKS, max(1, -(-n // block))))
@@ -130,7 +134,7 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     )
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", shards: int = SHARDS) -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", shards: int | None = None) -> DataFrame:
     """The mix itself: docs' columns, a row for each copy taken, dealt to shards and shuffled locally.
     Documents without words give nothing to a mix of words and are left out."""
     columns = docs.columns
@@ -138,7 +142,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     return (
         whole.where("size > 0")
         .select("__row", F.posexplode("shards").alias("__copy", "__shard"))
-        .repartition(shards, "__shard")
+        .repartition(*([shards] if shards else []), "__shard")
         .sortWithinPartitions("__shard", F.xxhash64(F.lit(SEED), "__copy", F.col("__row")[key]))
         .select("__row.*")
     )

@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import slices
+
 BITS, SAMPLE, EPOCHS = 18, 6000, 6
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 0.01, 0.0
 THRESHOLD = 0.7
@@ -109,7 +111,7 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", column: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             at = [logit(w[f]) for f in map(features, batch.column(where).to_pylist())]
             values = 1 / (1 + np.exp(-np.clip(np.array(at, np.float64), -35, 35)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, column])

@@ -23,10 +23,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from .common import slices
+
 BLANKS, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 WINDOW, CHUNK, LEVEL = 5, 4096, 3
 #: (bytes up to, lowest ratio, highest ratio); a text longer than all takes the last band.
-BANDS = [(64, 0.6, 1.2), (256, 0.8, 1.85), (1024, 1.15, 2.25), (4096, 1.5, 2.45), (16384, 1.8, 2.65), (65536, 2.0, 2.8), (1 << 62, 2.0, 3.2)]
+BANDS = [(64, 0.6, 1.2), (256, 0.8, 1.85), (1024, 1.1, 2.25), (4096, 1.4, 2.45), (16384, 1.6, 2.65), (65536, 1.65, 2.8), (1 << 62, 1.7, 3.2)]
 SCHEMA = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, ratio double, bad_chunks long, chunks long, base_failed boolean, kept boolean"
 
 
@@ -89,7 +91,7 @@ def apply_rules(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=LEVEL, write_content_size=False)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [judge(x or b"", packer) for x in batch.column(1).cast(pa.binary()).to_pylist()]
             if rows:
                 yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, zip(*rows, strict=True))], names=[key, *names])
