@@ -488,6 +488,15 @@ def test_queries_on_rough_tables(spark, tmp_path):
     assert {r.doc_id for r in queries.op7_decontamination(spark, path).collect()} == {20}
 
 
+def test_native_queries_run_no_python(spark, tmp_path):
+    path, _ = tables(tmp_path, spark)
+    for name in ("op3_secret_scan", "op4_pii", "op9_url_filter"):
+        plan = queries.QUERIES[name](spark, path)._jdf.queryExecution().toString()
+        assert not re.search("Python|Pandas|MapInArrow|ArrowEval", plan), name
+    plan = queries.QUERIES["op9_url_filter"](spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan and "ReadSchema: struct<page_id:bigint,url:string>" in plan
+
+
 def test_pipeline_is_its_stages(spark, tmp_path):
     """The pipeline against plain loops over the same decisions."""
     import corpus_pipeline as c
