@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import base58
-from .chains import lookup, strip
+from .chains import let, lookup, strip
 
 # Fixed values.
 CASE_SENSITIVE = "btc bitcoin ltc litecoin doge dogecoin dash bch bitcoincash xrp ripple sol solana xmr monero zec zcash tron trx".split()
@@ -31,9 +31,12 @@ def is_bech32(address: Column) -> Column:
 
 def canonical_case(address: Column) -> Column:
     """Lower case where case means nothing (EVM, bech32 in one case); otherwise untouched but for white space."""
-    a = strip(address)
-    one_case = (a == F.lower(a)) | (a == F.upper(a))
-    return F.when(is_evm(a) | (is_bech32(a) & one_case), F.lower(a)).otherwise(a)
+
+    def cased(a: Column) -> Column:
+        one_case = (a == F.lower(a)) | (a == F.upper(a))
+        return F.when(is_evm(a) | (is_bech32(a) & one_case), F.lower(a)).otherwise(a)
+
+    return let(strip(address), cased)
 
 
 def _judged(address: Column, chain: Column | None) -> Column:

@@ -8,17 +8,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .chains import let
+
 ALPHABET = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
 LIMBS, TAKEN = 7, 5
 CHARS = LIMBS * TAKEN
 STEP, LIMB = 58**TAKEN, 1 << 32
 
 
-def let(value: Column, body) -> Column:
-    """body of a value that is computed once, however often body uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _word(text: Column, i: Column) -> Column:
     """The value of the i-th group of five digits."""
     digit = lambda j: (F.instr(F.lit(ALPHABET), F.substring(text, i * TAKEN + j + 1, F.lit(1))) - 1).cast("long")

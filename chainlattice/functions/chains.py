@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,9 +24,18 @@ SET_ALIASES = {"ethereum": "eth", "eth": "eth", "xdai": "gnosis", "gnosis": "gno
 SET_INCLUDED = ("eth", "tron", "base", "arbitrum", "gnosis")
 
 
+#: Every character that counts as white space.
+WHITE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
+
+
 def strip(text: Column) -> Column:
     """Text without white space at either end."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+\z", "")
+    return F.btrim(text, F.lit(WHITE))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def lookup(key: Column, table: dict[str, str]) -> Column:
@@ -39,7 +50,7 @@ def _folded(name: Column) -> Column:
 
 def normalize_chain(name: Column) -> Column:
     """Store spelling of a chain; unknown spellings pass through in lower case, null is empty."""
-    return F.coalesce(lookup(_folded(name), STORE_ALIASES), _folded(name))
+    return let(_folded(name), lambda n: F.coalesce(lookup(n, STORE_ALIASES), n))
 
 
 def is_canonical_chain(name: Column) -> Column:
@@ -53,9 +64,9 @@ def resolve_bnb(chain: Column, address: Column) -> Column:
 
 
 def store_chain(name: Column, address: Column) -> Column:
-    return resolve_bnb(normalize_chain(name), address)
+    return let(normalize_chain(name), lambda chain: resolve_bnb(chain, address))
 
 
 def set_chain(name: Column) -> Column:
     """Label-set spelling of a chain."""
-    return F.coalesce(lookup(_folded(name), SET_ALIASES), _folded(name))
+    return let(_folded(name), lambda n: F.coalesce(lookup(n, SET_ALIASES), n))
