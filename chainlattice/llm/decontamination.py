@@ -1,17 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, and Smith-Waterman
+"""Benchmark decontamination: n-gram seeds join passages to test items, and Smith-Waterman
 alignment scores the pairs, so that paraphrased or edited copies are found as well.
 
-Words are lower-cased and lose ASCII punctuation. A first pass over all documents counts in how many
-of them each three-word sequence of the items stands; an item's seeds are the rarer half of its own
-sequences (SEEDS at least), so that every item keeps seeds, however often it has leaked. A second
-pass finds the seeds in each document, cuts out the stretch around them and aligns it with the item
-(match +2, other word -1, gap -1). The score is relative to the item's own: 1 for an exact copy. A
-stretch that shares too few words with the item to reach LIMIT is not aligned (a match scores 2 at
-most, so nothing is lost by that).
+Words are lower-cased and lose ASCII punctuation. Every three-word sequence of an item is a seed,
+rare or common: which of them an edited copy keeps can't be told from counts. One pass finds the
+seeds in each document, cuts out the stretch around them and aligns it with the item (match +2,
+other word -1, gap -1). The score is relative to the item's own: 1 for an exact copy. The stretch
+reaches as far as an alignment through the seed that scores LIMIT can (it has no more gaps than the
+item has words). A stretch that shares too few words with the item to reach LIMIT, each counted as
+often as it stands in both, is not aligned (a match scores 2 at most, so nothing is lost by that);
+this keeps common seeds cheap.
+
+The limit of the method: a copy that keeps no three words of the item in a row has no seed.
 
 The items are the query set, taken in blocks of at most BLOCK words, and all documents pass by
-each block; a block's vocabulary and seeds are broadcast and bounded by BLOCK. The documents are
-never shuffled; only counts of the items' sequences are.
+each block; a block's vocabulary and seeds are broadcast and bounded by BLOCK. Nothing is shuffled.
 
 Cases: null and empty texts match nothing, nor do items with fewer than three words. Repeated items
 are reported each, repeated rows too. Very long texts are taken whole. An empty benchmark flags
@@ -31,7 +33,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import slices
 
-N, SEEDS, LIMIT, BLOCK = 3, 8, 0.5, 200_000
+N, LIMIT, BLOCK = 3, 0.5, 200_000
 MATCH, OTHER, GAP = 2, -1, -1
 PUNCTUATION = b"""!"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"""
 
@@ -47,8 +49,13 @@ class Items:
         self.number: dict[bytes, int] = {}
         self.keys = [k for k, _ in rows]
         self.ids = [np.array([self.number.setdefault(w, len(self.number) + 1) for w in words(t)], np.int64) for _, t in rows]
-        self.grams = np.unique(np.concatenate([self.sequences(x) for x in self.ids] or [np.zeros(0, np.int64)]))
-        self.places: dict[int, list[tuple[int, int]]] = {}
+        self.bags = [np.unique(x, return_counts=True) for x in self.ids]
+        places = defaultdict(list)
+        for item, ids in enumerate(self.ids):
+            for offset, g in enumerate(self.sequences(ids).tolist()):
+                places[g].append((item, offset))
+        self.grams = np.array(sorted(places), np.int64)
+        self.places = [places[g] for g in self.grams.tolist()]
 
     def read(self, text: str | None) -> np.ndarray:
         get = self.number.get
@@ -74,19 +81,6 @@ class Items:
         hit = among[slot] == own[at]
         return at[hit], slot[hit]
 
-    def choose(self, times: dict[int, int]) -> None:
-        """Keep the rarer half of each item's sequences, SEEDS at least, as seeds."""
-        places = defaultdict(list)
-        for item, ids in enumerate(self.ids):
-            own = self.sequences(ids)
-            ranked = sorted(set(own.tolist()), key=lambda g: (times.get(g, 0), g))
-            kept = set(ranked[: max(SEEDS, -(-len(ranked) // 2))])
-            for offset, g in enumerate(own.tolist()):
-                if g in kept:
-                    places[g].append((item, offset))
-        self.grams = np.array(sorted(places), np.int64)
-        self.places = {i: places[g] for i, g in enumerate(self.grams.tolist())}
-
     def matches(self, text: str | None) -> list[tuple[int, float, int, int]]:
         """(item, score, first word, end) of the items that the text contains, with their best place."""
         ids = self.read(text)
@@ -94,7 +88,7 @@ class Items:
         for at, slot in zip(*(x.tolist() for x in self.found(ids, self.grams)), strict=True):
             for item, offset in self.places[slot]:
                 size = len(self.ids[item])
-                low, high = max(0, at - offset - size // 2), min(len(ids), at - offset + size + size // 2)
+                low, high = max(0, at - offset - size), min(len(ids), at - offset + 2 * size)
                 own = stretches[item]
                 if own and low <= own[-1][1]:
                     own[-1] = [min(low, own[-1][0]), max(high, own[-1][1])]
@@ -109,10 +103,16 @@ class Items:
 
     def score(self, item: int, ids: np.ndarray, low: int, high: int) -> tuple[float, int, int]:
         own, part = self.ids[item], ids[low:high]
-        if np.isin(part, own).sum() < LIMIT * len(own):
+        kinds, times = self.bags[item]
+        slot = np.minimum(np.searchsorted(kinds, part), len(kinds) - 1)
+        shared = np.bincount(slot[kinds[slot] == part], minlength=len(kinds))
+        if np.minimum(shared, times).sum() < LIMIT * len(own):
             return 0.0, low, low
         score, end = align(own, part)
-        return score / (MATCH * len(own)), low, low + end
+        if score < LIMIT * MATCH * len(own):
+            return 0.0, low, low
+        back = align(own[::-1], part[:end][::-1])[1]  # how far the passage reaches back from its end
+        return score / (MATCH * len(own)), low + end - back, low + end
 
 
 def align(item: np.ndarray, part: np.ndarray) -> tuple[int, int]:
@@ -143,24 +143,6 @@ def blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple]]:
         yield block
 
 
-def prepared(docs: DataFrame, rows: list[tuple], text: str) -> Items:
-    """A block's items with their seeds, chosen by counts over all documents."""
-    items = Items(rows)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, times = shared.value, np.zeros(len(items.grams), np.int64)
-        for batch in slices(batches):
-            for t in batch.column(0).to_pylist():
-                times[np.unique(own.found(own.read(t), own.grams)[1])] += 1
-        at = np.nonzero(times)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(own.grams[at]), pa.array(times[at])], names=["gram", "n"])
-
-    counts = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-    items.choose({r.gram: r.n for r in counts})
-    return items
-
-
 def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row for each document and item it contains: both keys, score (0.5 to 1), first_word, end_word."""
     only = docs.select(F.col(key), F.col(text).alias("__text"))
@@ -168,7 +150,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     out = docs.sparkSession.createDataFrame([], kinds)
     item_type = to_arrow_type(benchmark.schema[item].dataType)
     for rows in blocks(benchmark, item, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(prepared(docs, rows, text))
+        shared = docs.sparkSession.sparkContext.broadcast(Items(rows))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
@@ -188,7 +170,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of docs that contain no item, with all their columns."""
     for rows in blocks(benchmark, item, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(prepared(docs, rows, text))
+        shared = docs.sparkSession.sparkContext.broadcast(Items(rows))
         where = docs.columns.index(text)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, where=where) -> Iterator[pa.RecordBatch]:

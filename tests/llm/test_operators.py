@@ -370,6 +370,41 @@ def test_decontamination(spark):
     assert decontamination.find(docs(spark, *rows).limit(0), bench).count() == 0
 
 
+def leaked(text, every, first):
+    """An edited copy: every so many-th word is another one."""
+    return " ".join(f"other{first}x{j}" if j % every == first % every else w for j, w in enumerate(text.split(" ")))
+
+
+def full_alignment(rows, items):
+    """Every document aligned whole with every item: scores of LIMIT or more."""
+    own = decontamination.Items(items)
+    out = {}
+    for k, t in rows:
+        ids = own.read(t)
+        for (item, _), x in zip(items, own.ids, strict=True):
+            score = decontamination.align(x, ids)[0] / (2 * len(x))
+            if score >= decontamination.LIMIT:
+                out[k, item] = score
+    return out
+
+
+def test_decontamination_of_edited_copies_only(spark):
+    """Items that stand nowhere but in copies with every 4th to 6th word replaced, or with words put in."""
+    items = [(i, prose(15 + 4 * i, 7000 + i)) for i in range(9)]
+    rows = [(10 * i + every, f"{prose(70, 10 * i + every)} {leaked(t, every, i)} {prose(40, 3000 + i)}") for i, t in items for every in (4, 5, 6)]
+    for i, t in items:
+        w = t.split(" ")
+        rows.append((10 * i + 9, prose(50, i) + " " + " ".join(w[:5] + [x for y in w[5:] for x in (y, "more")]) + " " + prose(30, i)))
+    rows += [(1000 + i, prose(150, 8000 + i)) for i in range(20)]
+    want = full_alignment(rows, items)
+    assert {(10 * i + k, i) for i, _ in items for k in (4, 5, 6, 9)} <= set(want)
+    bench = spark.createDataFrame(items, "item_id int, text string")
+    got = decontamination.find(docs(spark, *rows), bench).collect()
+    assert {(r.doc_id, r.item_id): r.score for r in got} == want
+    assert all(r.first_word in (70, 71) for r in got if r.doc_id == 10 * r.item_id + 6)  # the first word may be a replaced one
+    assert {r.doc_id for r in decontamination.clean(docs(spark, *rows), bench).collect()} == {k for k, _ in rows} - {k for k, _ in want}
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     items = [(i, prose(30, 500 + i)) for i in range(6)]
     rows = docs(spark, *[(i, prose(50, i) + " " + t) for i, t in items])
