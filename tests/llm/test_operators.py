@@ -552,3 +552,20 @@ def test_pipeline_is_its_stages(spark, tmp_path):
     assert [s for s, _ in c.STAGES] == ["quality", "near_duplicates", "decontamination", "mixing", "tokens"]
 
 
+def test_pipeline_drops_items_leaked_as_edited_copies_only(spark, tmp_path):
+    """Stage by stage up to the third, against full alignment of what the second one kept."""
+    import corpus_pipeline as c
+
+    items = [(i, prose(20 + 3 * i, 7500 + i)) for i in range(8)]
+    texts = {i: prose(90, 9000 + i) for i in range(60)}
+    planted = {100 + 10 * i + every: f"{prose(60, 9500 + 10 * i + every)} {leaked(t, every, i)} {prose(30, 9800 + i)}" for i, t in items for every in (4, 5, 6)}
+    texts |= planted
+    spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(0, 60, 2)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    path = str(tmp_path)
+    single = c.near_duplicates(spark, c.quality(spark, spark.read.parquet(f"{path}/documents.parquet"), path), path)
+    rows = [(r.doc_id, r.text) for r in single.collect()]
+    want = {k for k, _ in full_alignment(rows, items)}
+    assert len(want) > 10 and want == {k for k, _ in rows} & set(planted)
+    assert {r.doc_id for r in c.decontaminate(spark, single, path).collect()} == {k for k, _ in rows} - want
