@@ -451,6 +451,26 @@ def test_quality_rules(spark):
     assert quality_rules.apply_rules(rows.limit(0)).count() == 0
 
 
+def patched(size, share, seed):
+    """Random words; the given share of each five repeats one of six four-word phrases, so no five-word window occurs twice."""
+    rng, out = random.Random(seed), ""
+    word = lambda: "".join(rng.choice("eeeettaaooiinnsshhrdlcumwfgypbvk") for _ in range(rng.randrange(2, 9)))
+    phrases = [" ".join(word() for _ in range(4)) for _ in range(6)]
+    while len(out) < size:
+        out += (f"{rng.choice(phrases)} {word()}" if rng.random() < share else " ".join(word() for _ in range(5))) + " "
+    return out
+
+
+def test_quality_bands_reject_repetitive_texts_of_every_length(spark):
+    wide = {700: 2.25, 1400: 2.45, 2800: 2.45, 6000: 2.65, 14000: 2.65, 40000: 2.8}  # limits that let them pass
+    shares = {700: 0.45, 1400: 0.55, 2800: 0.4, 6000: 0.45, 14000: 0.5, 40000: 0.45}
+    rows = docs(spark, *((n, patched(n, shares[n], n)) for n in wide), *((-n, patched(n, 0, n)) for n in wide))
+    got = {r.doc_id: r for r in quality_rules.apply_rules(rows).collect()}
+    assert all(not got[n].base_failed and got[n].ratio < wide[n] and not got[n].kept for n in wide)
+    assert all(got[-n].kept for n in wide)
+    assert [b for b, _, _ in quality_rules.BANDS] == sorted({b for b, _, _ in quality_rules.BANDS})
+
+
 # 9 ---------------------------------------------------------------------------------------------
 
 
