@@ -2,7 +2,10 @@
 
 A rolling hash over the hashes of WINDOW lines decides where a chunk ends, so boundaries depend on
 the lines around them alone and find each other again after lines are put in or taken out. Chunks
-have MIN_LINES lines or more; a text's last chunk may be shorter and is then left alone.
+have MIN_LINES lines or more; a text's last chunk may be shorter. It is left alone or, with `tails`,
+goes if it stands after the same chunk at an earlier text's end: it is compared together with the
+chunk before it, which is still compared for itself too. Texts of one line lose nothing, nor do
+shared passages without a whole chunk inside; README gives figures.
 
 First pass: the chunks' 128-bit hashes. Those that occur more than once are repeated, and the first
 occurrence (smallest key, nulls last, then smallest text hash and place) stays. Second pass: the
@@ -52,8 +55,14 @@ def chunks(data: bytes) -> list[tuple[int, list[bytes]]]:
     return out
 
 
-def _repeatable(data: bytes) -> Iterator[tuple[int, bytes]]:
-    return ((first, b"\n".join(own)) for first, own in chunks(data) if len(own) >= MIN_LINES)
+def _repeatable(data: bytes, tails: bool = False) -> Iterator[tuple[int, bytes]]:
+    before: list[bytes] = []
+    for first, own in chunks(data):
+        if len(own) >= MIN_LINES:
+            yield first, b"\n".join(own)
+        elif tails and before:
+            yield first, b"\n".join(before + own)
+        before = own
 
 
 def _bucket(digest: bytes) -> int:
@@ -73,14 +82,14 @@ def _bitmap(digests: DataFrame) -> np.ndarray:
     return out
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", tails: bool = False) -> DataFrame:
     """key, text without the repeated chunks, n_lines, n_removed (lines) and n_chunks (removed)."""
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("print"), F.col(text).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
 
     def listed(batch: pa.RecordBatch, keep=None) -> pa.RecordBatch | None:
         """A row for each chunk of a batch: key, print, at, digest and bucket or, of those to keep, the bytes."""
-        found = [(i, at, xxhash.xxh3_128_digest(t), t) for i, data in enumerate(batch.column(2).cast(pa.binary()).to_pylist()) if data for at, t in _repeatable(data)]
+        found = [(i, at, xxhash.xxh3_128_digest(t), t) for i, data in enumerate(batch.column(2).cast(pa.binary()).to_pylist()) if data for at, t in _repeatable(data, tails)]
         if keep is not None:
             bits = np.array([_bucket(f[2]) for f in found], np.int64)
             found = [f for f, k in zip(found, (keep[bits >> 3] >> (bits & 7) & 1).tolist(), strict=True) if k]

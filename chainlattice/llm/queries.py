@@ -12,7 +12,7 @@ from .common import table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    done = line_dedup.dedup(table(spark, sf_dir, "documents", "doc_id", "text"), tails=True)
     return done.select("doc_id", "n_lines", "n_removed", "n_chunks", F.sha2("text", 256).alias("text_sha256"))
 
 

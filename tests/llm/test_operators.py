@@ -78,6 +78,24 @@ def test_line_dedup_edges(spark):
     assert line_dedup.dedup(docs(spark, (1, "x")).limit(0)).count() == 0
 
 
+def test_line_dedup_takes_exact_copies_whole(spark, tmp_path):
+    """Copies that end in a chunk of one line go whole, and a shared chunk before an own last line still goes."""
+    texts, i = [], 0
+    while len(texts) < 12:
+        i += 1
+        t = "\n".join(prose(9, 40000 + 100 * i + j) for j in range(12))
+        own = line_dedup.chunks(t.encode())
+        if len(own[-1][1]) == 1 and len(own) > 1:
+            texts.append(t)
+    rows = [*enumerate(texts), *((100 + k, t) for k, t in enumerate(texts))]
+    other = texts[0].rsplit("\n", 1)[0] + "\n" + next(x for j in range(99) if len(line_dedup.chunks((texts[0].rsplit("\n", 1)[0] + "\n" + (x := prose(9, j))).encode())[-1][1]) == 1)
+    rows.append((200, other))
+    spark.createDataFrame(rows, DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op1_line_dedup(spark, str(tmp_path)).collect()}
+    assert all(got[k].n_removed == 0 and got[100 + k].n_removed == got[100 + k].n_lines == 12 for k in range(12))
+    assert (got[200].n_removed, got[200].n_lines) == (11, 12)
+
+
 # 2 ---------------------------------------------------------------------------------------------
 
 
