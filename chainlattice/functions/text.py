@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .arrays import running_sum
 from .chains import strip
 
 # The entities of the pages read here, ampersand last.
@@ -38,15 +39,9 @@ def places(text: Column, pattern: str) -> Column:
     """All matches of pattern with start and exclusive end in code points, in order."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,till:int,value:string>>").alias("out"))
-
-    def add(acc: Column, pair: Column) -> Column:
-        at = acc["at"] + F.char_length(pair["gap"])
-        till = at + F.char_length(pair["value"])
-        return F.struct(till.alias("at"), F.array_append(acc["out"], F.struct(at.alias("at"), till.alias("till"), pair["value"].alias("value"))).alias("out"))
-
-    pairs = F.zip_with(gaps, found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, start, add, lambda acc: acc["out"])).otherwise(F.array().cast("array<struct<at:int,till:int,value:string>>"))
+    ends = running_sum(F.zip_with(gaps, found, lambda g, v: F.char_length(g) + F.char_length(v)), F.size(found))
+    out = F.zip_with(ends, found, lambda e, v: F.struct((e - F.char_length(v)).alias("at"), e.alias("till"), v.alias("value")))
+    return F.when(F.size(found) > 0, out).otherwise(F.array().cast("array<struct<at:int,till:int,value:string>>"))
 
 
 def split_at_starts(text: Column, vocabulary: list[str]) -> Column:
