@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -204,16 +205,57 @@ def test_secret_base_spans(spark):
 
 
 def test_secret_models(spark):
+    """Random strings outside base spans are found, glued ones and lower-case ones too; ordinary ones aren't."""
     table = secret_scan.train(secret_scan.samples(spark))
     rng = random.Random(5)
-    secrets = ["".join(rng.choice(secret_scan.ALPHABET[:62]) for _ in range(32)) for _ in range(60)]
-    plain = [w for n in range(3, 6) for w in ("_".join(rng.sample(secret_scan.WORDS, n)) for _ in range(15))] + ["Donaudampfschifffahrtsgesellschaft", "internationalization_and_more", "THE_QUICK_BROWN_FOX_JUMPS", "src/main/java/service/handler"]
-    got = {r.doc_id: r.added for r in secret_scan.scan(docs(spark, *enumerate(f"so {t} there" for t in secrets + plain)), table).collect()}
-    hits = [bool(got[i]) for i in range(len(secrets) + len(plain))]
-    assert sum(hits[: len(secrets)]) >= 55 and sum(hits[len(secrets) :]) <= 2
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    anyhow, lower = secret_scan.ALPHABET[:62], secret_scan.LETTERS
+    kinds = {
+        "bare": [draw(anyhow, 32) for _ in range(40)], "glued": [f"client_session_value={draw(anyhow, 24)}" for _ in range(40)], "path": [f"/service/user/session/{draw(anyhow, 24)}" for _ in range(40)],
+        "lower": [draw(lower, 28) for _ in range(40)], "mixed": [draw(lower + "0123456789", 24) for _ in range(40)], "beside": [f"0123456789abcdef0123/{draw(anyhow, 24)}" for _ in range(40)],
+    }
+    secrets = [t for own in kinds.values() for t in own]
+    plain = [w for n in range(3, 6) for w in ("_".join(rng.sample(secret_scan.WORDS, n)) for _ in range(40))]
+    plain += ["Donaudampfschifffahrtsgesellschaft", "internationalization_and_more", "THE_QUICK_BROWN_FOX_JUMPS", "src/main/java/service/handler", "2024-01-12_report_2025", "1234567890123456789012", "A" * 60, "=" * 40]
+    texts = [f"so {t} there" for t in secrets + plain]
+    got = {r.doc_id: r.added for r in secret_scan.scan(docs(spark, *enumerate(texts)), table).collect()}
+    assert all(texts[i][s.at : s.till] == s.value for i, own in got.items() for s in own)
+    hits = [bool(got[i]) for i in range(len(texts))]
+    for k, kind in enumerate(kinds):
+        assert sum(hits[40 * k : 40 * k + 40]) >= (30 if kind == "lower" else 38), kind
+    assert sum(hits[len(secrets) :]) <= 1
     assert secret_scan.scan(docs(spark, (1, "a")).limit(0), table).count() == 0
 
 
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(1, 6)), max_size=12), st.lists(st.tuples(st.integers(0, 30), st.integers(1, 6)), max_size=12))
+def test_parts_outside_spans(spark, items, others):
+    """Against brute force over places; items don't overlap each other."""
+    own, end = [], 0
+    for gap, size in items:
+        own.append((end + gap % 5, end + gap % 5 + size))
+        end = own[-1][1]
+    text = "".join(chr(97 + i % 26) for i in range(200))
+    other = [(a, a + n) for a, n in others]
+    rows = spark.createDataFrame([([(a, 0, b, "i", text[a:b], "") for a, b in own], [(a, 0, b, "o", "", "") for a, b in other])], f"items {S.EMPTY}, others {S.EMPTY}")
+    got = rows.select(S.outside(F.col("items"), F.col("others")).alias("parts"), S.clear_of(F.col("items"), F.col("others")).alias("clear")).first()
+    covered = {i for a, b in other for i in range(a, b)}
+    assert {i for s in got.parts for i in range(s.at, s.till)} == {i for a, b in own for i in range(a, b)} - covered
+    assert all(text[s.at : s.till] == s.value for s in got.parts)
+    assert [(s.at, s.till) for s in got.clear] == [(a, b) for a, b in own if not any(a < d and c < b for c, d in other)]
+
+
+def test_spans_of_very_long_texts(spark):
+    """100,000 spans in one text, with candidates between them."""
+    table = secret_scan.train(secret_scan.samples(spark, 2000))
+    text = "password=abcdefghijklmnop ordinary_identifier_name 0123456789abcdef " * 50_000
+    start = time.time()
+    found = secret_scan.scan(docs(spark, (1, text)), table).first()
+    assert len(found.base) == 100_000 and found.base[-1].till == len(text) - 1
+    assert len(pii.scan(docs(spark, (1, "a1@b.cd 10.0.0.1 x " * 50_000))).first().base) == 100_000
+    assert time.time() - start < 60
+
+
 def luhn(s):
     return sum((lambda d, i: d if i % 2 == 0 else d * 2 - (9 if d > 4 else 0))(int(c), i) for i, c in enumerate(reversed(s))) % 10 == 0
 
@@ -253,6 +295,36 @@ def test_private_weak_supervision(spark):
     assert pii.scan(docs(spark, (1, "x")).limit(0)).count() == 0
 
 
+def test_private_names_beyond_the_gazetteers(spark):
+    """Precision and recall of names outside base spans, half of them in no gazetteer, among capitalised pairs."""
+    rng = random.Random(8)
+    syllable = lambda: rng.choice(["ka", "lo", "mir", "ven", "tas", "bri", "dou", "xel"])
+    strange = lambda: (syllable() + syllable() + syllable()).capitalize()
+    lead = ["please call", "signed by Mr", "write to", "contact Dr", "from"]
+    texts, want = [], {}
+    for i in range(400):
+        if i % 2:
+            known = rng.random() < 0.5
+            name = f"{rng.choice(pii.GIVEN) if known else strange()} {rng.choice(pii.SURNAMES) if known else strange()}"
+            texts.append(f"{prose(6, i)} {rng.choice(lead)} {name} about it")
+            want[i] = name
+        else:
+            texts.append(f"{prose(6, i)} on page 12 of the {rng.choice(['Annual Report', 'New Table', 'Second Chapter', 'Monday Review', 'United States'])} and {prose(4, -i)}")
+    got = {r.doc_id: [s.value for s in r.added] for r in pii.scan(docs(spark, *enumerate(texts))).collect()}
+    found = sum(any(want[i] in v for v in got[i]) for i in want)
+    false = sum(len(got[i]) for i in range(400) if i not in want)
+    assert found >= 0.9 * len(want) and false <= 0.05 * found, (found, false)
+
+
+def test_private_names_after_other_capitals(spark):
+    """Every two neighbours of a run of capitalised words are a candidate, with the title before them."""
+    rows = pii.candidates(docs(spark, (0, "Contact Maria Garcia at noon"), (1, "On Monday John Smith called"), (2, "dear Mr. Peter Miller and Frau Dr Anna"))).collect()
+    got = {r.doc_id: {(x.span.value, x.votes[1]) for x in r.judged} for r in rows}
+    assert got[0] == {("Contact Maria", -1), ("Maria Garcia", 1)} and got[2] == {("Mr. Peter Miller", 1)}
+    assert got[1] == {("On Monday", -1), ("Monday John", -1), ("John Smith", 1)}
+    assert all(s.span.value == docs_text[s.span.at : s.span.till] for r, docs_text in zip(sorted(rows), ("Contact Maria Garcia at noon", "On Monday John Smith called", "dear Mr. Peter Miller and Frau Dr Anna"), strict=True) for s in r.judged)
+
+
 def test_span_places(spark):
     text = "éab a b ab"
     rows = docs(spark, (1, text)).select(S.spans(F.col("text"), "ab?", S.matches(F.col("text"), "ab?"), 0, "k").alias("s")).first().s
