@@ -3,40 +3,44 @@
 Sources stand in order of code points, null last, and weigh 1, 2, 3, repeating. They share 100 % of
 all words; a target stops at CAP times its source's size, and the excess is shared anew by weight.
 
-The documents of a source are permuted by a hash and cut into blocks of about BLOCK words. A source
-gives `full` whole passes over its blocks and a prefix of one more pass, whose last block is cut
-between documents where the source's words come nearest its target. The exact numbers of blocks
-that each source gives (its quota) are split among the output shards by a binary tree: at each
-node the left half of the shards draws its share from all quotas together, without replacement
-(multivariate hypergeometric), and the right half keeps the rest. Shard by shard, disjoint runs of
-the permuted blocks fill the quotas; inside a shard, documents are shuffled locally.
-
-What reaches the driver has one row for each source, and the tree's table (shards x sources) is all
-that is broadcast; a source has BLOCKS blocks at most, however large it is, so a hot source spreads
-over its blocks. Documents are never joined with each other: a row is matched with its source and
-its block only.
+The documents of a source are permuted by a hash and cut into blocks of about BLOCK words. A source's
+quota is an exact number of blocks: `full` whole passes over its blocks, and of one more pass those up
+to the block in which its target is reached. The quotas are split among the output shards (SHARD words
+each) by a binary tree: at each node the left half of the shards draws its share from all quotas
+together, without replacement (multivariate hypergeometric), and the right half keeps the rest. So
+a shard gets a run of each source's permuted blocks; runs are disjoint and add up to the quotas, which
+is checked. A document is taken as often as its block was drawn. Of the last block only some documents
+are taken: in PASSES passes those that still fit, in order, past the ones that don't; then, of two of
+each doubling of size that are left, those with which the source's words come nearest its target. Inside
+a shard, documents are shuffled locally.
+
+What reaches the driver has one row for each source, and about 40 offers. The tree's upper nodes (SUBTREES
+at most) are drawn on the driver; the rest is drawn by tasks, one for each subtree, as sparse rows of
+source, first block, number and shard, which are joined to the documents by source and block, and only
+broadcast where there are few. A hot source spreads over its blocks. Documents are never joined with
+each other. There are never more than MOST blocks in all: beyond MOST * BLOCK words (2.2e12), blocks are larger.
 
 Cases: null or empty texts have size 0, stand in some block and give no words. A source without any
-words has target 0. Repeated rows are mixed each for itself (identical rows are interchangeable).
-An empty table gives an empty mix. Reruns agree: all draws follow from SEED and the rows.
+words has target 0. Repeated rows are mixed each for itself (identical rows are interchangeable, and
+share a block). Null keys are told apart by their texts. An empty table gives an empty mix. Reruns
+agree: all draws follow from SEED and the rows.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable, n_words
+from .common import durable, n_words, shuffle_partitions
 
 WEIGHTS, CAP, SEED = (1, 2, 3), 3, 20
-BLOCK, BLOCKS = 1 << 20, 1 << 16
-#: Words of an output shard, and the most shards there are (larger mixes have larger shards).
-SHARD, SHARDS = 1 << 22, 1 << 14
+BLOCK, SHARD, MOST, SUBTREES, PASSES = 1 << 12, 1 << 16, 1 << 29, 1 << 8, 3
 #: Sources or blocks up to this number are broadcast (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 17
 
@@ -59,20 +63,55 @@ def targets(sizes: list[int], weights: list[float], cap: int = CAP) -> list[floa
     return out
 
 
-def split(quotas: np.ndarray, shards: int, seed: int = SEED) -> np.ndarray:
-    """How many blocks of each source each shard gets: shards x sources, exact column sums."""
-    out = np.zeros((shards, len(quotas)), np.int64)
-
-    def node(first: int, n: int, have: np.ndarray) -> None:
-        if n == 1:
-            out[first] = have
-            return
-        half = n // 2
-        draw = np.random.default_rng([seed, first, n]).multivariate_hypergeometric(have, int(have.sum()) * half // n, method="marginals")
-        node(first, half, draw)
-        node(first + half, n - half, have - draw)
-
-    node(0, shards, np.asarray(quotas, np.int64))
+def children(first: int, n: int, have: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
+    """What the left and the right half of shards first to first + n - 1 get of the blocks they have."""
+    draw = np.random.default_rng([seed, first, n]).multivariate_hypergeometric(have, int(have.sum()) * (n // 2) // n, method="marginals")
+    return draw, have - draw
+
+
+def descend(first: int, n: int, ahead: np.ndarray, have: np.ndarray, upto: int = 1) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """The nodes of at most `upto` shards below a node: first shard, shards, blocks of each source before
+    them, and blocks of each source that they get."""
+    waiting = [(first, n, ahead, have)]
+    while waiting:
+        first, n, ahead, have = waiting.pop()
+        if n <= upto:
+            yield first, n, ahead, have
+            continue
+        left, right = children(first, n, have)
+        waiting += [(first + n // 2, n - n // 2, ahead + left, right), (first, n // 2, ahead, left)]
+
+
+def split(spark: SparkSession, quotas: np.ndarray, shards: int) -> DataFrame:
+    """The tree's leaves as rows of sid, first (block of the source's quota), n and shard."""
+    top = [(f, n, *(x.tolist() for x in (ahead, have))) for f, n, ahead, have in descend(0, shards, np.zeros_like(quotas), quotas, -(-shards // SUBTREES))]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for f, n, ahead, have in frame.itertuples(index=False):
+                for shard, _, at, own in descend(f, n, np.asarray(ahead, np.int64), np.asarray(have, np.int64)):
+                    which = np.nonzero(own)[0]
+                    yield pd.DataFrame({"sid": which.astype("int32"), "first": at[which], "n": own[which], "shard": np.int64(shard)})
+
+    nodes = spark.createDataFrame(top, "first long, n long, ahead array<long>, have array<long>")
+    leaves = durable(nodes.repartition(min(len(top), shuffle_partitions(spark))).mapInPandas(run, "sid int, first long, n long, shard long"), "leaves")
+    dealt = {r.sid: r.n for r in leaves.groupBy("sid").agg(F.sum("n").alias("n")).collect()}
+    if any(dealt.get(i, 0) != q for i, q in enumerate(quotas.tolist())):
+        raise AssertionError("the shards' blocks don't add up to the quotas")
+    return leaves
+
+
+def fillers(gap: float, offers: list[tuple[int, int]]) -> list[int]:
+    """The numbers of offers (size, number) that fill a gap: the largest that fit, in turn; at last the
+    smallest one left, if its size is less than twice what is still open."""
+    out = []
+    for size, number in sorted(offers, key=lambda x: (-x[0], x[1])):
+        if size <= gap:
+            out.append(number)
+            gap -= size
+    left = [x for x in offers if x[1] not in out]
+    if left and min(left)[0] < 2 * gap:
+        out.append(min(left)[1])
     return out
 
 
@@ -80,27 +119,28 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Each row's key, size, source_size, target, taken, copies, shards (one for each copy) and the carried
     columns. The number of shards follows the number of words, unless it is given."""
     spark = docs.sparkSession
-    sized = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
+    sized = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), F.xxhash64(text).alias("print"), F.struct(F.lit(0).alias("_"), *carry).alias("carry"))
     sized = sized if carry else durable(sized, "sized")  # what is carried is worth reading again
     small = lambda df, n: F.broadcast(df) if n <= BROADCAST_ROWS else df  # noqa: E731  rows of a few numbers each
     found = [(r.source, int(r.n)) for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()]
     found.sort(key=lambda x: (x[0] is None, (x[0] or "").encode()))
-    shards = shards or min(SHARDS, -(-sum(n for _, n in found) // SHARD)) or 1
+    words = sum(n for _, n in found)
+    shards, block = shards or -(-words // SHARD) or 1, max(block, -(-CAP * words // MOST))
     aims = targets([n for _, n in found], [WEIGHTS[i % len(WEIGHTS)] for i in range(len(found))])
     info = [
-        (i, name, n, aim, full := min(CAP, int(aim // n)) if n else 0, (aim - full * n) if full < CAP else 0.0, min(BLOCKS, max(1, -(-n // block))))
+        (i, name, n, aim, full := min(CAP, int(aim // n)) if n else 0, (aim - full * n) if full < CAP else 0.0, max(1, -(-n // block)))
         for i, ((name, n), aim) in enumerate(zip(found, aims, strict=True))
     ]
-    sources = spark.createDataFrame(info, "sid int, name string, source_size long, target double, full int, rest double, blocks int")
-    spread = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "key", "source"), 1) / F.lit(float(1 << 63))
+    sources = spark.createDataFrame(info, "sid int, name string, source_size long, target double, full int, rest double, blocks long")
+    spread = F.shiftrightunsigned(F.xxhash64(F.lit(SEED), "key", "source", "print"), 1) / F.lit(float(1 << 63))
     rows = (
         sized.join(small(sources, len(info)), F.col("source").eqNullSafe(F.col("name")))
         .withColumn("order", spread)
-        .withColumn("block", F.least(F.floor(F.col("order") * F.col("blocks")).cast("int"), F.col("blocks") - 1))
+        .withColumn("block", F.least(F.floor(F.col("order") * F.col("blocks")), F.col("blocks") - 1))
         .drop("name", "source")
     )
     before = Window.partitionBy("sid").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (  # of each source's last pass: the block in which it ends, and the words left for that block
+    cut = (  # of each source's last pass: the block in which it ends, and the words before that block
         rows.groupBy("sid", "block", "rest").agg(F.sum("size").alias("words"))
         .withColumn("ahead", F.coalesce(F.sum("words").over(before), F.lit(0)))
         .where("rest > 0 and ahead < rest")
@@ -108,30 +148,38 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     )
     ends = {r.sid: (r["last"], r.ahead) for r in cut.collect()}
     quotas = np.array([x[4] * x[6] + (ends[x[0]][0] + 1 if x[0] in ends else 0) for x in info], np.int64)
-    shared = spark.sparkContext.broadcast(np.cumsum(split(quotas, shards), axis=0) if len(info) else np.zeros((shards, 0), np.int64))
-    limits = spark.createDataFrame([(x[0], *ends.get(x[0], (-1, 0))) for x in info], "sid int, last int, ahead long")
-
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        upto = shared.value
-        for x in frames:
-            passes = [[e * n + b for e in range(f + (b <= end))] for b, n, f, end in zip(x["block"], x["blocks"], x["full"], x["last"], strict=True)]
-            yield pd.DataFrame({"sid": x["sid"], "block": x["block"], "shards": [np.searchsorted(upto[:, s], p, "right").astype("int32") for s, p in zip(x["sid"], passes, strict=True)]})
-
-    dealt = sources.join(limits, "sid").select("sid", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "blocks", "full", "last").mapInPandas(deal, "sid int, block int, shards array<int>")
+    limits = spark.createDataFrame([(x[0], *ends.get(x[0], (-1, 0))) for x in info], "sid int, last long, ahead long")
     rows = rows.join(small(limits, len(info)), "sid")
-    ahead = Window.partitionBy("sid").orderBy("order", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    edge = rows.where("block = last").withColumn("extra", (F.col("ahead") + F.coalesce(F.sum("size").over(ahead), F.lit(0)) + F.col("size") / 2 <= F.col("rest")).cast("int"))
-    inner = rows.where("block != last").withColumn("extra", (F.col("block") < F.col("last")).cast("int"))
-    copies = (F.col("full") + F.col("extra")).alias("copies")
+
+    # the last block of each source: in PASSES passes in order those that still fit, then offers among the others
+    order = Window.partitionBy("sid").orderBy("order", "key", "print", "size")
+    last = rows.where("block = last").withColumn("number", F.row_number().over(order)).withColumn("gap", F.col("rest") - F.col("ahead")).withColumn("fits", F.lit(False))
+    for _ in range(PASSES):
+        may = ~F.col("fits") & (F.col("size") > 0) & (F.col("size") <= F.col("gap"))
+        last = last.withColumn("upto", F.sum(F.when(may, F.col("size"))).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        last = last.withColumn("new", F.coalesce(may & (F.col("upto") <= F.col("gap")), F.lit(False)))
+        last = last.withColumn("gap", F.col("gap") - F.coalesce(F.max(F.when(F.col("new"), F.col("upto"))).over(Window.partitionBy("sid")), F.lit(0))).withColumn("fits", F.col("fits") | F.col("new"))
+    last = last.drop("upto", "new")
+    edge = durable(last.where("not fits and size > 0").select("sid", "size", "number", "gap"), "edge")
+    doubling = Window.partitionBy("sid", F.floor(F.log2("size"))).orderBy("number")
+    offers, gaps = defaultdict(list), {}
+    for r in edge.withColumn("nth", F.row_number().over(doubling)).where("nth <= 2").collect():
+        offers[r.sid].append((r["size"], r.number))
+        gaps[r.sid] = r.gap
+    filled = spark.createDataFrame([(sid, number) for sid, own in offers.items() for number in fillers(gaps[sid], own)], "sid int, number int").withColumn("fills", F.lit(True))
+
+    leaves = split(spark, quotas, shards)
+    each = leaves.select("sid", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("place"), "shard").join(small(sources.select("sid", "blocks"), len(info)), "sid")
+    dealt = each.groupBy("sid", (F.col("place") % F.col("blocks")).alias("block")).agg(F.array_sort(F.collect_list(F.struct("place", "shard"))).alias("drawn"))  # CAP at most
+    edges = last.join(F.broadcast(filled), ["sid", "number"], "left").withColumn("spared", ~(F.col("fits") | F.coalesce("fills", F.lit(False))) & (F.col("rest") > 0)).drop("number", "gap", "fits", "fills")
+    placed = edges.unionByName(rows.where("block != last").withColumn("spared", F.lit(False)))
+    drawn = F.coalesce(F.col("drawn.shard"), F.array().cast("array<long>"))
     return (
-        edge.unionByName(inner)
-        .join(small(dealt, sum(x[6] for x in info)), ["sid", "block"])
-        .withColumn("copies", copies)
-        .select(
-            F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies",
-            F.slice("shards", F.lit(1), F.col("copies")).alias("shards"), *[F.col("carry")[c].alias(c) for c in carry],
-        )
-    )
+        placed.join(small(dealt, int(sum(x[6] for x in info))), ["sid", "block"], "left")
+        .withColumn("shards", F.slice(drawn, F.lit(1), F.size(drawn) - F.col("spared").cast("int")))
+        .withColumn("copies", F.size("shards"))
+        .select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "shards", *[F.col("carry")[c].alias(c) for c in carry])
+    )
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", shards: int | None = None) -> DataFrame:
@@ -139,11 +187,11 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     Documents without words give nothing to a mix of words and are left out."""
     columns = docs.columns
     whole = plan(docs.withColumn("__row", F.struct(*columns)), key, text, source, ("__row",), shards)
+    shuffled = [F.xxhash64(F.lit(SEED), "__copy", F.col("__row")[key], F.col("__row")[text]), F.col("__row")[text]]
     return (
         whole.where("size > 0")
         .select("__row", F.posexplode("shards").alias("__copy", "__shard"))
         .repartition(*([shards] if shards else []), "__shard")
-        .sortWithinPartitions("__shard", F.xxhash64(F.lit(SEED), "__copy", F.col("__row")[key]))
+        .sortWithinPartitions("__shard", *shuffled)
         .select("__row.*")
     )
-
