@@ -630,7 +630,7 @@ def test_url_filter(spark):
     urls = [f"http://{'.'.join(rng.sample(parts, rng.randrange(1, 5)))}{rng.choice(['', '/', '/en/', '/en/x?q', '?a=/en/', '#/en/'])}" for _ in range(400)]
     urls += [None, "", "no scheme", "x://", "HTTPS://EXAMPLE.Net/EN/", "a://b://example.net/en/", "http://net", "http://u:p@example.net:80/", "http://notexample.net/", "http://.net/"]
     pages = spark.createDataFrame(list(enumerate(urls)) * 2, "page_id int, url string").withColumn("host", F.lit("old")).withColumn("key", F.lit("k"))
-    got = url_filter.filter_urls(pages, url_filter.rules_table(spark, rules), default="ask", lanes=3)
+    got = url_filter.filter_urls(pages, url_filter.rules_table(spark, rules), default="ask", lane=5)
     assert set(got.columns) == {"page_id", "url", "key", "host", "path", "rule", "verdict"} and got.count() == 2 * len(urls)
     for r in got.collect():
         assert (r.host, r.path, r.rule, r.verdict) == brute_rule(r.url, rules, "ask"), r
