@@ -147,6 +147,31 @@ def test_jaccard_chain_of_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize(("hot", "hold"), [(3, 1 << 13), (1 << 17, 4), (3, 5)])
+def test_jaccard_hot_tiles(spark, hot, hold):
+    """Hot shingles with salted tiles, and cells cut into parts, lose nothing: families that share a long
+    beginning but don't all link, and a chain."""
+    shared, rows = prose(60, 77), []
+    for family in range(6):
+        own = shared + " " + prose(25 + 3 * family, family)
+        rows += [(len(rows) + k, edited(own, k % 3, 50 * family + k)) for k in range(14)]
+    text = shared + " " + prose(100, 99)
+    for i in range(20):
+        rows.append((200 + i, text))
+        text = edited(text, 2, i)
+    got = jaccard_join.link(docs(spark, *rows), hot=hot, hold=hold).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4, 85)
+
+
+def test_bands():
+    for percent in (50, 80, 85, 99, 100):
+        limits = jaccard_join.bands(percent)
+        band = np.searchsorted(limits, np.arange(3000), "right") if len(limits) else np.arange(3000)
+        for n in range(1, 1500):
+            most = n * 100 // percent
+            assert band[min(most, 2999)] - band[n] <= 1 and (band[n] != band[min(most + 1, 2999)] or most + 1 > 2999)
+
+
 def test_jaccard_repeated_rows_and_nulls(spark):
     rows = docs(spark, (3, "a b c d e"), (3, "a b c d e"), (None, "a b c d e"), (None, "x y"), (5, "a b c d e"), (7, None))
     got = sorted(((r.doc_id, r.component_id, r.is_first) for r in jaccard_join.link(rows).collect()), key=str)
