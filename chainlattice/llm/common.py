@@ -21,11 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the session's spark.checkpoint.dir; a temporary folder only where none is set."""
+    """A fresh path under the session's spark.checkpoint.dir, or the context's checkpoint folder. Where neither
+    is set, a temporary folder serves a local session; on a cluster that would be no shared one: an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         if held.isEmpty():
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="chainlattice-"))
             held = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = held.get()

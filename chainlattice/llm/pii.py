@@ -10,8 +10,7 @@ pattern a probability.
 
 The final classifier sees the text, not the votes: hashed features of a span's shape, words, endings,
 length and the words before it. It is a logistic regression whose targets are the probabilities that
-EM gives; it is fitted on at most SAMPLE candidates, those whose documents' keys have the smallest
-hashes. So it also finds names that no gazetteer holds, by what stands around them. Base spans stay; a
+EM gives; it is fitted on at most SAMPLE candidates, those with the smallest hashes of key and place. So it also finds names that no gazetteer holds, by what stands around them. Base spans stay; a
 candidate that overlaps one is dropped, and of overlapping candidates the likeliest stays.
 
 Votes, features, counts and scores are DataFrame functions. The first pass writes spans, votes and
@@ -208,9 +207,12 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", limit: float
     each = found.select(F.explode("judged").alias("x")).groupBy(F.col("x.span.kind").alias("kind"), F.col("x.votes").alias("votes")).count()
     counts = sorted((r.kind, tuple(r.votes), r["count"]) for r in each.collect())
     post = estimate(counts)
+    total = sum(n for kind, _, n in counts if KINDS.index(kind) >= 4)
     more = found.select(F.xxhash64(key).alias("order"), F.explode(F.filter("judged", lambda x: x["features"].isNotNull())).alias("x"))
-    drawn = more.select("order", F.col("x.span.at").alias("at"), F.col("x.span.kind").alias("kind"), F.col("x.votes").alias("votes"), F.col("x.features").alias("features"))
-    sample = [(r.features, post[r.kind, tuple(r.votes)]) for r in drawn.orderBy("order", "at", "kind", "votes", "features").limit(SAMPLE).collect()]
+    drawn = more.select(F.xxhash64("order", "x.span.at", "x.span.kind").alias("order"), F.col("x.span.kind").alias("kind"), F.col("x.votes").alias("votes"), F.col("x.features").alias("features"))
+    low = min(1 << 63, (1 << 63) * SAMPLE // max(1, total)) - (1 << 63) // 2  # a share of the hashes, from the smallest
+    rows = drawn.where(F.shiftright("order", 1) < F.lit(low)).limit(2 * SAMPLE).collect()
+    sample = [(r.features, post[r.kind, tuple(r.votes)]) for r in sorted(rows, key=lambda r: (r.order, r.kind, r.votes, r.features))[:SAMPLE]]
     w = fit(sample)
     scored = F.transform(F.filter("judged", lambda x: x["features"].isNotNull()), lambda x: F.struct(x["span"].alias("span"), probability(x["features"], w).alias("p")))
     likely = F.array_sort(F.filter(scored, lambda x: x["p"] > limit))
