@@ -40,7 +40,7 @@ from pyspark.sql.window import Window
 from .common import durable, n_words, shuffle_partitions
 
 WEIGHTS, CAP, SEED = (1, 2, 3), 3, 20
-BLOCK, SHARD, MOST, SUBTREES, PASSES = 1 << 12, 1 << 16, 1 << 29, 1 << 8, 3
+BLOCK, SHARD, MOST, SUBTREES, PASSES, RUN = 1 << 12, 1 << 16, 1 << 29, 1 << 8, 3, 1 << 10
 #: Sources or blocks up to this number are broadcast (about 60 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 1 << 17
 
@@ -115,6 +115,13 @@ def fillers(gap: float, offers: list[tuple[int, int]]) -> list[int]:
     return out
 
 
+def _reached(words: DataFrame, place: str) -> DataFrame:
+    """For each source the last place before which there are fewer words than rest, and how many."""
+    before = Window.partitionBy("sid").orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = words.withColumn("ahead", F.col("base") + F.coalesce(F.sum("words").over(before), F.lit(0)))
+    return ahead.where("ahead < rest").groupBy("sid").agg(F.max(place).alias("last"), F.max("ahead").alias("ahead"))
+
+
 def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", carry: tuple[str, ...] = (), shards: int | None = None, block: int = BLOCK) -> DataFrame:
     """Each row's key, size, source_size, target, taken, copies, shards (one for each copy) and the carried
     columns. The number of shards follows the number of words, unless it is given."""
@@ -139,14 +146,11 @@ def plan(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
         .withColumn("block", F.least(F.floor(F.col("order") * F.col("blocks")), F.col("blocks") - 1))
         .drop("name", "source")
     )
-    before = Window.partitionBy("sid").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    cut = (  # of each source's last pass: the block in which it ends, and the words before that block
-        rows.groupBy("sid", "block", "rest").agg(F.sum("size").alias("words"))
-        .withColumn("ahead", F.coalesce(F.sum("words").over(before), F.lit(0)))
-        .where("rest > 0 and ahead < rest")
-        .groupBy("sid").agg(F.max("block").alias("last"), F.max("ahead").alias("ahead"))
-    )
-    ends = {r.sid: (r["last"], r.ahead) for r in cut.collect()}
+    # of each source's last pass: the block in which it ends and the words before that, first by runs of RUN blocks
+    words_of = durable(rows.where("rest > 0").groupBy("sid", "rest", F.floor(F.col("block") / RUN).alias("run"), "block").agg(F.sum("size").alias("words")), "blocks")
+    runs = _reached(words_of.groupBy("sid", "rest", "run").agg(F.sum("words").alias("words")).withColumn("base", F.lit(0)), "run").collect()
+    chosen = spark.createDataFrame([(r.sid, r["last"], r.ahead) for r in runs], "sid int, run long, base long")
+    ends = {r.sid: (r["last"], r.ahead) for r in _reached(words_of.join(small(chosen, len(runs)), ["sid", "run"]), "block").collect()}
     quotas = np.array([x[4] * x[6] + (ends[x[0]][0] + 1 if x[0] in ends else 0) for x in info], np.int64)
     limits = spark.createDataFrame([(x[0], *ends.get(x[0], (-1, 0))) for x in info], "sid int, last long, ahead long")
     rows = rows.join(small(limits, len(info)), "sid")
