@@ -24,7 +24,9 @@ JUNK = (
     r"^onramp\s+bitcoin", r"^block\s+chain\s+wallet", r"^tocgy\s+crypto\s+block", r"^(?:axpout|cuphax|rthae|cresia|fenrod)\s+crypto\s+finance", r"\bkakucoin\b", r"\bbinancex\b",
     r"\bcoinbasex\b", r"\bkrakenex\b", r"\bpaxosex\b", r"^bybit\s+currency\s+trading\b", r"\blexinova\b", r"^tiny\s+score\s+ripple\b", r"^tripple\s+s\b",
 )
-BRANDS = "binance okx kraken coinbase gemini bitstamp crypto.com paxos circle bybit kucoin huobi bitfinex gate.io blackrock blockfi".split()
+BRANDS = (
+    "binance", "okx", "kraken", "coinbase", "gemini", "bitstamp", "crypto.com", "paxos", "circle", "bybit", "kucoin", "huobi", "bitfinex", "gate.io", "blackrock", "blockfi",
+)
 LABEL_ALIASES = (("gate.io", "gate_io"), ("gate.com", "gate_io"), ("circle internet", "circle"), ("paypal", "paypal"), ("blockchain.com", "blockchain_com"))
 
 Rules = list[tuple[str, str]]
@@ -56,8 +58,9 @@ def normalize_name(name: Column, rounds: int = 6) -> Column:
     """Lower case, without separators, legal forms at the end (as long as something stays) and marks."""
     text = _squeeze(F.regexp_replace(strip(F.lower(F.coalesce(name, F.lit("")))), "[,/_]", " "))
     endings = F.array(*[F.lit(rf"(?U)\b{_java(s)}\z") for s in LEGAL])
+    some = rf"(?U)\b(?:{'|'.join(map(_java, LEGAL))})\z"  # one literal, compiled once: most names have no such ending
     once = lambda s: F.aggregate(endings, s, lambda a, e: F.coalesce(F.nullif(strip(F.regexp_replace(a, e, F.lit(""))), F.lit("")), a))
-    cut = F.aggregate(_fixed(rounds), text, lambda s, _: once(s))
+    cut = F.aggregate(_fixed(rounds), text, lambda s, _: F.when(s.rlike(some), once(s)).otherwise(s))
     return strip(_squeeze(F.regexp_replace(cut, r"(?U)[^\w\s]", " ")))
 
 

@@ -2,20 +2,52 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .arrays import running_sum
 from .chains import strip
 
-# The entities of the pages read here, ampersand last.
-ENTITIES = (("&nbsp;", " "), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+#: A character reference of HTML, and the names that stand for a character without a semicolon, longest first.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+BARE = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+#: Numbers 128 to 159 mean the characters of Windows code page 1252, where it has one.
+WESTERN = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
+
+
+def _numbered(number: Column) -> Column:
+    """The text of a numeric reference; a replacement character for what is none, nothing for non-characters."""
+    code = F.lpad(F.hex(number), 8, "0")
+    control = number.between(1, 8) | number.between(14, 31) | number.isin(11, 127) | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+    return (
+        F.when(number.isNull() | (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF), "\ufffd")
+        .when(number.between(128, 159), F.substring(F.lit(WESTERN), (number - 127).cast("int"), F.lit(1)))
+        .when(control, "")
+        .otherwise(F.decode(F.unhex(code), "UTF-32"))
+    )
+
+
+def _resolved(reference: Column) -> Column:
+    """The text that a reference stands for; itself if it is none."""
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    body = F.rtrim(reference, F.lit(";"))
+    hexed, plain = F.regexp_extract(body, "^&#[xX]0*([0-9a-fA-F]{1,8})\\z", 1), F.regexp_extract(body, "^&#0*([0-9]{1,12})\\z", 1)
+    zero = body.rlike("^&#(?:[xX]0+|0+)\\z")
+    number = F.when(zero, 0).when(hexed != "", F.conv(hexed, 16, 10).cast("long")).when(plain != "", plain.cast("long"))
+    name = F.substring(reference, F.lit(2), F.char_length(reference))
+    bare = F.regexp_extract(name, f"^(?:{'|'.join(BARE)})", 0)
+    named = F.coalesce(F.try_element_at(names, name), F.when(bare != "", F.concat(F.try_element_at(names, bare), F.substring(name, F.char_length(bare) + 1, F.char_length(name)))))
+    return F.when(F.startswith(reference, F.lit("&#")), _numbered(number)).otherwise(F.coalesce(named, reference))
 
 
 def unescape(html: Column) -> Column:
-    for entity, char in ENTITIES:
-        html = F.replace(html, F.lit(entity), F.lit(char))
-    return html
+    """Text with all character references of HTML resolved, named and numbered."""
+    found = F.regexp_extract_all(html, F.lit(REFERENCE), F.lit(0))
+    parts = F.zip_with(F.split(html, REFERENCE, -1), F.concat(F.transform(found, _resolved), F.array(F.lit(""))), lambda g, r: F.concat(g, r))
+    return F.when(F.contains(html, F.lit("&")), F.array_join(parts, "")).otherwise(html)
 
 
 def strip_tags(html: Column) -> Column:

@@ -10,25 +10,30 @@ from .gates import BRIDGE_ADDRESSES, BRIDGES, Gate
 
 # Declared types that make a bridge, in the order they are looked for.
 DECLARED = ("denomination", "intent", "liquidity", "canonical", "aggregator")
-OBJECT = r"\{[^{}]*\}"
+#: Levels of a document that the JSON parser takes.
+DEEPEST = 1000
 
 
 def walk(docs: DataFrame, key: str = "path", json: str = "body") -> DataFrame:
     """key, escrow_address, chain and token_address of every object of type balanceOfEscrow, however deep.
 
-    A recursive query takes the document apart level by level as variants."""
-    spark = docs.sparkSession
-    name = f"__docs_{id(docs)}"
-    docs.select(F.col(key).alias("k"), F.try_parse_json(F.col(json)).alias("v")).createOrReplaceTempView(name)
-    return spark.sql(f"""
-        with recursive tree(k, v, depth) as (
-          select k, v, 0 from {name} where v is not null
-          union all
-          select t.k, c.value, t.depth + 1 from tree t, lateral variant_explode(t.v) c
-          where schema_of_variant(t.v) like 'OBJECT%' or schema_of_variant(t.v) like 'ARRAY%')
-        select k as `{key}`, try_variant_get(v, '$.escrowAddress', 'string') as escrow_address,
-          try_variant_get(v, '$.chain', 'string') as chain, try_variant_get(v, '$.address', 'string') as token_address
-        from tree where try_variant_get(v, '$.type', 'string') = 'balanceOfEscrow' and coalesce(try_variant_get(v, '$.escrowAddress', 'string'), '') != ''""")
+    Each document is taken apart for itself, level by level as variants: as many levels as it has opening
+    brackets, DEEPEST at most, which is what the parser takes. No document waits for another."""
+    item = "struct<escrow_address:string,chain:string,token_address:string>"
+    text = lambda v, k: F.try_variant_get(v, f"$.{k}", "string")
+    inside = lambda v: F.coalesce(F.map_values(F.try_variant_get(v, "$", "map<string,variant>")), F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))
+    own = lambda v: F.struct(text(v, "escrowAddress").alias("escrow_address"), text(v, "chain").alias("chain"), text(v, "address").alias("token_address")).cast(item)
+    escrows = lambda vs: F.transform(F.filter(vs, lambda v: (text(v, "type") == "balanceOfEscrow") & (F.coalesce(text(v, "escrowAddress"), F.lit("")) != "")), own)
+
+    def descend(acc: Column, _: Column) -> Column:
+        below = F.flatten(F.transform(acc["level"], inside))
+        return F.when(F.size(acc["level"]) == 0, acc).otherwise(F.struct(below.alias("level"), F.concat(acc["found"], escrows(acc["level"])).alias("found")))
+
+    levels = F.least(F.size(F.regexp_extract_all(json, F.lit(r"[\[{]"), F.lit(0))) + 1, F.lit(DEEPEST))
+    start = F.struct(F.array("v").cast("array<variant>").alias("level"), F.array().cast(f"array<{item}>").alias("found"))
+    parsed = docs.select(F.col(key), F.try_parse_json(F.col(json)).alias("v"), levels.alias("levels")).where("v is not null")
+    found = F.aggregate(F.sequence(F.lit(1), F.col("levels")), start, descend, lambda acc: acc["found"])
+    return parsed.select(key, F.inline(found))
 
 
 def classify(source: Column) -> Column:

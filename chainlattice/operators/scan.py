@@ -6,10 +6,13 @@ from __future__ import annotations
 import ast
 import os
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.chains import let
 from ..functions.text import deobfuscate
 from .gates import GateFailure
 
@@ -26,27 +29,34 @@ SERVICE = (".claude", ".codex", ".hoff_tmp")
 FIRM = {"aws-access-key-id", "private-key-block", "secret-literal", "github-token"}
 
 
-def files(root: str) -> list[tuple[str, bytes | None, bool]]:
-    """Every file below root: relative path, content (null: binary or unreadable) and unreadable. Links
-    are kept by name and not followed."""
+def files(root: str) -> list[tuple[str, str]]:
+    """Every file below root: relative path and place. Links are kept by name and not followed."""
     out = []
     for folder, names, found in os.walk(root):
         names[:] = sorted(n for n in names if n not in SKIPPED and not os.path.islink(os.path.join(folder, n)))
-        for name in sorted(found):
-            path = os.path.join(folder, name)
-            where, data, bad = os.path.relpath(path, root), None, False
-            if not os.path.islink(path) and not name.lower().endswith(BINARY):
+        out += [(os.path.relpath(os.path.join(folder, n), root), os.path.join(folder, n)) for n in sorted(found)]
+    return out
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contents of files, one at a time; null for binary ones and links, and for what can't be read."""
+    schema = pa.schema([("path", pa.string()), ("data", pa.binary()), ("unreadable", pa.bool_())])
+    for batch in batches:
+        for where, path in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+            data, bad = None, False
+            if not os.path.islink(path) and not path.lower().endswith(BINARY):
                 try:
                     with open(path, "rb") as f:
                         data = f.read()
                 except OSError:
                     bad = True
-            out.append((where, data, bad))
-    return out
+            yield pa.RecordBatch.from_pylist([{"path": where, "data": data, "unreadable": bad}], schema=schema)
 
 
 def tree(spark: SparkSession, root: str) -> DataFrame:
-    return spark.createDataFrame(files(root), "path string, data binary, unreadable boolean").withColumn("text", F.decode(F.col("data"), "UTF-8"))
+    """The files of a tree that all executors see: names are listed by the driver, contents read by tasks."""
+    listed = spark.createDataFrame(files(root), "path string, place string").repartition(spark.sparkContext.defaultParallelism)
+    return listed.mapInArrow(_read, "path string, data binary, unreadable boolean").withColumn("text", F.decode(F.col("data"), "UTF-8"))
 
 
 def violations(rows: DataFrame, patterns: DataFrame, exempt: DataFrame | None = None) -> DataFrame:
@@ -58,8 +68,10 @@ def violations(rows: DataFrame, patterns: DataFrame, exempt: DataFrame | None =
     checks = []
     for name, pattern, scope in own:
         plain = F.regexp_extract(F.col("path" if scope == "path" else "text"), f"({pattern})", 1)
-        hidden = F.lit("") if scope == "path" else F.regexp_extract("__joined", f"({pattern})", 1)
-        checks.append(F.struct(F.lit(name).alias("name"), F.coalesce(F.nullif(plain, F.lit("")), F.nullif(hidden, F.lit(""))).alias("match"), (F.coalesce(plain, F.lit("")) == "").alias("obfuscated")))
+        hidden = F.lit(None).cast("string") if scope == "path" else F.nullif(F.regexp_extract("__joined", f"({pattern})", 1), F.lit(""))
+        seamless = F.lit(scope == "path") | (F.col("__joined") == F.col("text"))
+        own = let(F.nullif(plain, F.lit("")), lambda m: F.struct(F.when(m.isNotNull() | seamless, m).otherwise(hidden).alias("match"), m.isNull().alias("obfuscated")))
+        checks.append(F.struct(F.lit(name).alias("name"), own["match"].alias("match"), own["obfuscated"].alias("obfuscated")))
     found = joined.select("path", F.inline(F.array(*checks))).where("match is not null")
     return found if exempt is None else found.join(exempt.select("path", "name"), ["path", "name"], "left_anti")
 

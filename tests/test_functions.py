@@ -1,6 +1,9 @@
 """Scalar functions on hand-made values, nulls and empty strings among them."""
 
 import hashlib
+import html
+import time
+from html.entities import html5
 
 import pytest
 from hypothesis import given, settings
@@ -108,3 +111,20 @@ def test_text(spark):
     words = ["VA Custody Services", "Custody Services", "VA Issuance"]
     assert values(spark, text.split_at_starts(x, words), "a VA Custody Services [x] VA Issuance", "none", "", None) == [["VA Custody Services [x]", "VA Issuance"], ["none"], [], []]
     assert values(spark, text.deobfuscate(x), '"ab" + "cd"') == ['"abcd"']
+
+
+def test_unescape_is_the_standard_one(spark):
+    """Named, numeric and broken references, as the standard library resolves them."""
+    numbers = [0, 1, 9, 11, 13, 38, 127, 128, 129, 150, 159, 160, 8364, 55296, 57343, 64976, 65534, 65536, 131071, 1114111, 1114112, 10**25]
+    texts = [f"a&#{n};b&#{n} &#x{n:x};" for n in numbers] + [f"x&{n}y" for n in sorted(html5)[::7]] + ["&", "&;", "&#;", "&#x;", "&ampx &notit; &copy2 &amp;lt; &lt;&gt &unknown; a&b=c", "", "plain"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", text.unescape(F.col("t")).alias("u")).collect()
+    assert [(texts[r.i], r.u) for r in rows if r.u != html.unescape(texts[r.i])] == []
+    assert spark.range(1).select(text.unescape(F.lit(None).cast("string"))).first()[0] is None
+
+
+def test_places_of_many_matches(spark):
+    """100,000 matches in one text, with their places in code points."""
+    start = time.time()
+    row = spark.range(1).select(text.places(F.repeat(F.lit("é ab x"), F.lit(100_000)), "ab").alias("p")).first()
+    assert len(row.p) == 100_000 and all((p.at, p.till) == (6 * i + 2, 6 * i + 4) for i, p in enumerate(row.p))
+    assert time.time() - start < 30

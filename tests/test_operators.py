@@ -237,3 +237,18 @@ def test_dedupe(spark):
     assert dedupe.sample(df, "o", 2).collect() == dedupe.sample(df.repartition(3), "o", 2).collect()
     empty = df.limit(0)
     assert dedupe.first_wins(empty, ["k"], ["o"]).count() == 0 and tuple(dedupe.overlap(empty, empty, "k").first()) == (0, 0, 0, 0)
+
+
+def test_walk_of_many_and_deep_documents(spark):
+    """More objects than a recursive query may return, and one 200 levels down."""
+    body = F.concat(F.lit('{"e":[{"f":{"type":"balanceOfEscrow","escrowAddress":"0xA'), "id", F.lit('"}},{"x":[1,2,{"y":[3,{"type":"sum","z":[4,5,6]}]}]}]}'))
+    many = spark.range(100_000).select(F.col("id").cast("string").alias("path"), body.alias("body"))
+    assert bridges.walk(many).agg(F.count_distinct("escrow_address")).first()[0] == 100_000
+    deep = "[" * 200 + '{"type":"balanceOfEscrow","escrowAddress":"0xD","chain":"c"}' + "]" * 200
+    rows = spark.createDataFrame([("a", deep), ("b", "no json"), ("c", None), ("d", "{}"), ("e", "3")], "path string, body string")
+    assert [tuple(r) for r in bridges.walk(rows).collect()] == [("a", "0xD", "c", None)]
+
+
+def test_header_rules():
+    """Each rule decides, in order."""
+    assert [a for *_, a in pages.ANNOUNCES] == ["change", "removal", "designation", None, "change"]
