@@ -37,9 +37,14 @@ def screen(batch: DataFrame) -> DataFrame:
 
 
 def provenance(batch_id: str, now: str) -> Column:
-    """JSON of a batch row, keys sorted, nulls kept."""
-    fields = F.struct("anchor_type", F.lit(now).alias("attributed_utc"), F.lit(batch_id).alias("batch_id"), "method", "note", "source_date", "source_url")
-    return F.to_json(fields, {"ignoreNullFields": "false"})
+    """JSON of a batch row: keys sorted, nulls kept, a space after commas and colons."""
+    fields = {"anchor_type": F.col("anchor_type"), "attributed_utc": F.lit(now), "batch_id": F.lit(batch_id), "method": F.col("method"), "note": F.col("note"), "source_date": F.col("source_date"), "source_url": F.col("source_url")}
+
+    def spelt(value: Column) -> Column:
+        json = F.to_json(F.struct(value.cast("string").alias("v")))
+        return F.when(value.isNull(), "null").otherwise(F.substring(json, F.lit(6), F.char_length(json) - 6))
+
+    return F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), spelt(v)) for k, v in sorted(fields.items())]), F.lit("}"))
 
 
 def merge_batch(base: DataFrame, batch: DataFrame, batch_id: str, now: str) -> DataFrame:

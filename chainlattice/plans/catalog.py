@@ -22,4 +22,4 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
-from . import queries_registry, queries_sources, queries_store, queries_text  # noqa: E402, F401
+from . import queries_more, queries_registry, queries_sources, queries_store, queries_text  # noqa: E402, F401

@@ -47,12 +47,12 @@ def address_canonical_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer", "c_custkey").select(k, A.canonical_case(raw).alias("canonical"), A.is_case_sensitive_form(raw, chain).alias("case_sensitive"), A.is_case_destroyed(raw, chain).alias("destroyed"))
 
 
-@query()
+@query(f"select c_custkey, {evm_sql('c_custkey')} as hexed, true as same, 'tron' as chain, 34 as n_chars, 'T' as first from customer")
 def base58_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tron forms of derived addresses and back; the flag says whether the round trip holds."""
     k = F.col("c_custkey")
     rows = table(spark, sf_dir, "customer", "c_custkey").select(k, evm(k).alias("hexed"), base58.hex_to_tron(evm(k)).alias("tron"))
-    return rows.select("c_custkey", "hexed", "tron", (base58.tron_to_hex(F.col("tron")) == F.col("hexed")).alias("same"), A.chain_by_form(F.col("tron")).alias("chain"))
+    return rows.select("c_custkey", "hexed", (base58.tron_to_hex(F.col("tron")) == F.col("hexed")).alias("same"), A.chain_by_form(F.col("tron")).alias("chain"), F.char_length("tron").alias("n_chars"), F.left("tron", F.lit(1)).alias("first"))
 
 
 @query(f"""{screened_sql()} select file, reject_reason, count(*)::bigint as n from screened where reject_reason is not null group by all""")

@@ -62,15 +62,18 @@ def probe_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probe.decide(grid, True, True).select("family", "decision")
 
 
-_PATTERNS = [("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", "text"), ("key", "AKIA[A-Z0-9]+", "text"), ("third", "src3$", "path")]
+_PATTERNS = [("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", "text"), ("key", "AKIA[A-Z0-9]+", "text"), ("joined", "acme-[0-9]+-corp", "text"), ("third", "src3$", "path")]
 
 
-@query("""with d as (select doc_id::varchar || '/' || source as path, text from documents)
-select * from (select path, 'mail' as name, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', 0) as match from d union all select path, 'key', regexp_extract(text, 'AKIA[A-Z0-9]+', 0) from d
-  union all select path, 'third', regexp_extract(path, 'src3$', 0) from d) where match <> ''""")
+@query("""with d as (select doc_id, doc_id::varchar || '/' || source as path, text from documents)
+select * from (select path, 'mail' as name, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', 0) as match, false as obfuscated from d union all select path, 'key', regexp_extract(text, 'AKIA[A-Z0-9]+', 0), false from d
+  union all select path, 'joined', 'acme-' || doc_id || '-corp', doc_id % 2 = 0 from d where text is not null union all select path, 'third', regexp_extract(path, 'src3$', 0), false from d) where match <> ''""")
 def pattern_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text").select(F.concat_ws("/", F.col("doc_id").cast("string"), "source").alias("path"), "text")
-    return scan.violations(docs, spark.createDataFrame(_PATTERNS, scan.PATTERN)).where("not obfuscated").select("path", "name", "match")
+    """Texts with a word put in, whole or as two literals with a seam, against patterns of texts and paths."""
+    k = F.col("doc_id").cast("string")
+    put = F.concat(F.lit(' x = "acme-'), F.when(F.col("doc_id") % 2 == 0, F.concat(k, F.lit('-" + "corp"'))).otherwise(F.concat(k, F.lit('-corp"'))))
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text").select(F.concat_ws("/", k, "source").alias("path"), F.concat("text", put).alias("text"))
+    return scan.violations(docs, spark.createDataFrame(_PATTERNS, scan.PATTERN)).select("path", "name", "match", "obfuscated")
 
 
 @query(f"""select c_custkey as sdn_id, 'ETH' as ticker, {evm_sql('c_custkey')} as address, 'ethereum' as chain from customer union all
@@ -141,12 +144,12 @@ def status_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier", "s_suppkey").select("s_suppkey", registers.normalize_status(pick(_STATES, F.col("s_suppkey"))).alias("status"))
 
 
-@query()
+@query(f"""select p_partkey, {pick_sql(tuple(registers.VARA_ACTIVITIES), 'p_partkey')} || ' [a]|' || {pick_sql(tuple(registers.VARA_ACTIVITIES), 'p_size')} as activities from part""")
 def activity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concatenated activities taken apart at the starts of known phrases."""
     words = registers.VARA_ACTIVITIES
-    joined = F.concat(F.lit("x "), pick(tuple(words), F.col("p_partkey")), F.lit(" [a]"), pick(tuple(words), F.col("p_size")))
-    return table(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", T.split_at_starts(joined, words).alias("activities"))
+    joined = F.concat(F.lit("x "), pick(tuple(words), F.col("p_partkey")), F.lit(" [a],"), pick(tuple(words), F.col("p_size")))
+    return table(spark, sf_dir, "part", "p_partkey", "p_size").select("p_partkey", F.array_join(T.split_at_starts(joined, words), "|").alias("activities"))
 
 
 _MSB = "lower(' ' || p_name || ' | ' || p_brand || ' ')"
