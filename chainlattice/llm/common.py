@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +47,24 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trimmed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow that gives freed memory back when its task ends: Python workers serve many
+    tasks, and their allocators would keep the largest one's memory beside the next one's."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
+def trim() -> None:
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if give_back is not None:
+        give_back(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of so many rows: a Python worker holds the words of one piece at a time."""
     for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import slices
+from .common import slices, trimmed
 
 N, LIMIT, BLOCK = 3, 0.5, 200_000
 MATCH, OTHER, GAP = 2, -1, -1
@@ -163,7 +163,7 @@ def find(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
                         names=[key, item, "score", "first_word", "end_word"],
                     )
 
-        out = out.unionByName(only.mapInArrow(run, kinds))
+        out = out.unionByName(only.mapInArrow(trimmed(run), kinds))
     return out
 
 
@@ -177,5 +177,5 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str =
             for batch in slices(batches):
                 yield batch.filter(pa.array([not shared.value.matches(t) for t in batch.column(where).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(trimmed(run), docs.schema)
     return docs

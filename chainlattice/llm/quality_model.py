@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import slices
+from .common import slices, trimmed
 
 BITS, SAMPLE, EPOCHS = 18, 6000, 6
 ALPHA, BETA, L1, L2 = 3.0, 1.0, 0.01, 0.0
@@ -116,4 +116,4 @@ def score(docs: DataFrame, weights: np.ndarray, text: str = "text", column: str
             values = 1 / (1 + np.exp(-np.clip(np.array(at, np.float64), -35, 35)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], names=[*batch.schema.names, column])
 
-    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(column, DoubleType())]))
+    return kept.mapInArrow(trimmed(run), StructType([*kept.schema.fields, StructField(column, DoubleType())]))
