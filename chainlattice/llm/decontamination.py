@@ -62,14 +62,17 @@ class Items:
         return np.array([get(w, 0) for w in words(text)], np.int64)
 
     def sequences(self, ids: np.ndarray) -> np.ndarray:
-        """One number for each sequence of N known words, -1 for the others."""
+        """One number for each sequence of N known words, -1 for the others. With more than 2 million words
+        in a block sequences may share a number: a seed then leads to an alignment in vain, and none is lost."""
         if len(ids) < N:
             return np.zeros(0, np.int64)
         base, out, known = len(self.number) + 1, ids[: len(ids) - N + 1].copy(), ids[: len(ids) - N + 1] > 0
+        if base**N >= 1 << 63:
+            base = 0x9E3779B97F4A7C15 - (1 << 64)  # products wrap around
         for i in range(1, N):
             part = ids[i : len(ids) - N + 1 + i]
             out, known = out * base + part, known & (part > 0)
-        return np.where(known, out, -1)
+        return np.where(known, out & (1 << 63) - 1, -1)
 
     def found(self, ids: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where in ids the sequences of `among` (sorted) stand, and which they are."""

@@ -1,5 +1,6 @@
 """The ten operators and the pipeline on small tables: brute force, nulls, ties, repeated rows, empty tables."""
 
+import math
 import os
 import random
 import re
@@ -533,6 +534,44 @@ def test_decontamination(spark):
     assert decontamination.find(docs(spark, *rows).limit(0), bench).count() == 0
 
 
+def plain_alignment(item, part):
+    """Smith-Waterman cell by cell."""
+    best, above = 0, [0] * (len(part) + 1)
+    for w in item:
+        row = [0]
+        for j, v in enumerate(part):
+            row.append(max(0, above[j] + (2 if v == w else -1), above[j + 1] - 1, row[j] - 1))
+        best, above = max(best, *row), row
+    return best
+
+
+def test_decontamination_against_all_pairs(spark):
+    """Every document aligned cell by cell with every item; pairs over the limit that share a seed are found, with these scores, and no others."""
+    items = [(i, prose(12 + i, 700 + i)) for i in range(8)]
+    rows = [(i, f"{prose(25, i)} {edited(items[i % 8][1], i % 7, i)} {prose(20, 300 + i)}") for i in range(40)]
+    seeds = {k: {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for k, t in items for w in [decontamination.words(t)]}
+    want = {}
+    for k, t in rows:
+        own = decontamination.words(t)
+        grams = {tuple(own[i : i + 3]) for i in range(len(own) - 2)}
+        for item, text in items:
+            score = plain_alignment(decontamination.words(text), own) / (2 * len(decontamination.words(text)))
+            if score >= 0.5 and grams & seeds[item]:
+                want[k, item] = score
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.find(docs(spark, *rows), spark.createDataFrame(items, "item_id int, text string")).collect()}
+    assert got == pytest.approx(want) and len(want) > 25
+
+
+def test_sequences_of_too_many_words():
+    """Numbers of sequences that don't fit into 63 bits are folded; equal sequences keep equal numbers."""
+    items = decontamination.Items([(0, "a b c d a b c")])
+    for i in range(3_000_000):
+        items.number[str(i).encode()] = i + 5
+    ids = np.array([3_000_001, 2_999_999, 2_500_000, 3_000_001, 2_999_999, 2_500_000, 0, 1, 2])
+    own = items.sequences(ids)
+    assert own[0] == own[3] >= 0 and own[0] != own[1] and (own[4:7] == -1).all()
+
+
 def leaked(text, every, first):
     """An edited copy: every so many-th word is another one."""
     return " ".join(f"other{first}x{j}" if j % every == first % every else w for j, w in enumerate(text.split(" ")))
@@ -614,6 +653,27 @@ def test_quality_rules(spark):
     assert quality_rules.apply_rules(rows.limit(0)).count() == 0
 
 
+def test_quality_verdict_against_brute_force(spark):
+    """The verdict from the bands as they are written: the whole text, and more than half of its chunks."""
+    import zstandard
+
+    ratio = lambda x: len(x) / len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(x))
+
+    def inside(x):
+        _, low, high = next(b for b in quality_rules.BANDS if len(x) <= b[0])
+        return low <= ratio(x) <= high
+
+    texts = [patched(size, share, i) for i, (size, share) in enumerate([(n, s) for n in (90, 300, 1200, 5000, 20000, 90000) for s in (0.0, 0.3, 0.6, 0.9)])]
+    texts += [texts[-4] + "abcdefgh " * 3000, "".join(chr(0x4E00 + (i * 7919) % 20000) + " " for i in range(400))]
+    got = {r.doc_id: r for r in quality_rules.apply_rules(docs(spark, *enumerate(texts))).collect()}
+    for i, t in enumerate(texts):
+        data = t.encode()
+        chunks = [data[a : a + 4096] for a in range(0, len(data), 4096)] if len(data) > 4096 else []
+        bad = sum(not inside(c) for c in chunks)
+        assert got[i].kept == (not got[i].base_failed and inside(data) and 2 * bad <= len(chunks)) and (got[i].chunks, got[i].bad_chunks) == (len(chunks), bad)
+    assert {got[i].kept for i in range(24)} == {True, False}
+
+
 def patched(size, share, seed):
     """Random words; the given share of each five repeats one of six four-word phrases, so no five-word window occurs twice."""
     rng, out = random.Random(seed), ""
@@ -666,6 +726,39 @@ def test_url_filter(spark):
 # 10 --------------------------------------------------------------------------------------------
 
 
+def brute_ftrl(samples, epochs):
+    """The update rule on dicts of features, one weight at a time."""
+    q = quality_model
+    z, n = defaultdict(float), defaultdict(float)
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= q.L1 else -(z[i] - math.copysign(q.L1, z[i])) / ((q.BETA + math.sqrt(n[i])) / q.ALPHA + q.L2)
+
+    for _ in range(epochs):
+        for x, label in samples:
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - label) * v
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / q.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    return {i: weight(i) for i in z}
+
+
+def test_quality_model_against_brute_force():
+    """Training by the update rule written out, and scores as sums of products."""
+    rng = random.Random(4)
+    texts = [(prose(rng.randrange(0, 25), i), i % 2) for i in range(30)]
+    found = [(quality_model.features(t), y) for t, y in texts]
+    dense = lambda f: {int(i): 1.0 if i == 0 else 1 / math.sqrt(max(1, len(f) - 1)) for i in f}
+    want = brute_ftrl([(dense(f), y) for f, y in found], quality_model.EPOCHS)
+    got = quality_model.fit(found)
+    assert all(abs(got[i] - w) < 1e-5 for i, w in want.items()) and np.count_nonzero(got) == sum(w != 0 for w in want.values())
+    for f, _ in found:
+        assert abs(quality_model.logit(got[f]) - sum(want[i] * v for i, v in dense(f).items())) < 1e-4
+
+
 def test_quality_model(spark):
     good = [(i, prose(60, i), 1) for i in range(150)]
     bad = [(1000 + i, " ".join(w + "***" for w in prose(60, 5000 + i).split()), 0) for i in range(60)]
