@@ -48,10 +48,20 @@ def page_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FAMILIES = {"mail": r"[a-z0-9._%+-]+@[a-z0-9.-]+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "secret": r"password=|akia[0-9a-z]+", "licence": r"licensed under|all rights reserved"}
 
 
-@query("select family, 'documents' as source, count(*)::bigint as named_match_count from (" + " union all ".join(f"select '{k}' as family from documents where regexp_matches(lower(text), '{v}')" for k, v in _FAMILIES.items()) + ") group by family")
+_PROBED = rf"""with d as (select coalesce(text, '') || ' ' || {evm_sql('doc_id % 7')} as t from documents),
+f as (select family, t from d join (values {', '.join(f"('{k}', '{v}')" for k, v in _FAMILIES.items())}, ('nobody', 'no such word')) as p(family, pattern) on regexp_matches(lower(t), pattern)),
+a as (select family, unnest(list_concat(list_transform(regexp_extract_all(t, '\b0x[a-fA-F0-9]{{40}}\b'), lambda x: lower(x)), regexp_extract_all(t, '\b(?:bc1[a-z0-9]{{25,90}}|[13][a-km-zA-HJ-NP-Z1-9]{{25,34}})\b'))) as address from f)
+select family, 'documents' as source, (select count(*) from f where f.family = p.family)::bigint as named_match_count, (select count(distinct address) from a where a.family = p.family)::bigint as distinct_addresses
+from (values {', '.join(f"('{k}')" for k in _FAMILIES)}, ('nobody')) as p(family)"""
+
+
+@query(_PROBED)
 def probe_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source").select("text", F.col("source").alias("name"), probe.addresses(F.coalesce("text", F.lit(""))).alias("found"))
-    return probe.cells(docs, "documents", _FAMILIES, {}).where("named_match_count > 0").select("family", "source", "named_match_count")
+    """Every family's cell, empty ones too: texts that name it, and the distinct addresses in them."""
+    body = F.concat(F.coalesce("text", F.lit("")), F.lit(" "), evm(F.col("doc_id") % 7))
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source").select(body.alias("text"), F.col("source").alias("name"), probe.addresses(body).alias("found"))
+    grid = probe.cells(docs, "documents", _FAMILIES | {"nobody": "no such word"}, {})
+    return grid.select("family", "source", F.col("named_match_count").cast("long").alias("named_match_count"), F.col("distinct_addresses").cast("long").alias("distinct_addresses"))
 
 
 @query("""with c as (select n_name as family, count(s_suppkey)::bigint as own, count(s_suppkey) filter (where s_acctbal > 5000)::bigint as named from nation left join supplier on s_nationkey = n_nationkey group by 1)
