@@ -161,19 +161,19 @@ def tag_skip_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpack.screen(labelled(spark, sf_dir)).where("skip_reason is not null").groupBy("skip_reason").agg(F.count("*").alias("n"))
 
 
-_TAGS = f"""with {_SCREENED} select address, currency, name as label, case source when 'ofac' then 'https://www.treasury.gov/ofac/downloads/sdn.csv' else 'https://www.walletexplorer.com/' end as source,
+_PACK = f"""with {_SCREENED} select address, currency, name as label, case source when 'ofac' then 'https://www.treasury.gov/ofac/downloads/sdn.csv' else 'https://www.walletexplorer.com/' end as source,
   case arg_min(type, ord * 2 + pos) when 'exchange' then 'exchange' end as category, case source when 'ofac' then 'authority_data' else 'unknown' end as confidence,
   case when min(c) not in ('bitcoin', 'ethereum', 'tron', 'litecoin') then '{{"evm_chain": "' || min(c) || '"}}' end as context
 from tag where skip is null and currency {{kept}} 'TRX' group by address, currency, name, source"""
 
 
-@query(_TAGS.replace("{kept}", "<>"))
+@query(_PACK.replace("{kept}", "<>"))
 def tag_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tags but for Tron ones, whose addresses SQL can't encode."""
     return tagpack.tags(tagpack.screen(labelled(spark, sf_dir))).where("currency != 'TRX'").drop("actor", "place")
 
 
-@query(_TAGS.replace("{kept}", "="))
+@query(_PACK.replace("{kept}", "="))
 def tag_pack_tron(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The Tron tags, with their addresses decoded again (null for a wrong checksum)."""
     rows = tagpack.tags(tagpack.screen(labelled(spark, sf_dir))).where("currency = 'TRX'").drop("actor", "place")
