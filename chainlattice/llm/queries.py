@@ -74,7 +74,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op2_jaccard_join": op2_jaccard_join, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op6_token_output": op6_token_output, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
-ORACLE_SQL = {"op9_url_filter": url_filter.ORACLE}
+ORACLE_SQL = {"op2_jaccard_join": jaccard_join.ORACLE, "op9_url_filter": url_filter.ORACLE}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

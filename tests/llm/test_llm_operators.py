@@ -845,3 +845,18 @@ def test_pipeline_drops_items_leaked_as_edited_copies_only(spark, tmp_path):
     want = {k for k, _ in full_alignment(rows, items)}
     assert len(want) > 10 and want == {k for k, _ in rows} & set(planted)
     assert {r.doc_id for r in c.decontaminate(spark, single, path).collect()} == {k for k, _ in rows} - want
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables here")
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_against_sql(spark, name):
+    import duckdb
+
+    con, sf = duckdb.connect(), "/root/testdata/sf0.001"
+    for table in ("documents", "pages"):
+        con.execute(f"create view {table} as select * from '{sf}/{table}.parquet'")
+    df, want = queries.QUERIES[name](spark, sf), con.sql(queries.ORACLE_SQL[name])
+    columns = sorted(df.columns)
+    assert sorted(want.columns) == columns
+    at = [want.columns.index(c) for c in columns]
+    assert sorted(map(str, ([r[c] for c in columns] for r in df.collect()))) == sorted(map(str, ([r[i] for i in at] for r in want.fetchall())))
