@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,12 +37,27 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, label: str) -> DataFrame:
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1024) -> Iterator[None]:
+    """While a table is written, Python workers get batches of so many rows at most: ten thousand texts at
+    once, the default, take much memory on both sides. The session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    if not 0 < int(own) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
+def durable(df: DataFrame, label: str, rows: int = 1024) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back: the lineage ends there, and any
-    executor can be lost afterwards. The files go when the application ends."""
+    executor can be lost afterwards. The files go when the application ends. rows: of a worker's batch at most."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark, rows):
+        df.write.parquet(path)
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)
