@@ -31,6 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from .common import slices, trimmed
 
@@ -178,9 +179,7 @@ def scan(docs: DataFrame, text: str = "text", notices: tuple[tuple[str, str], ..
     words and code points of each notice found) and score."""
     kept = [c for c in docs.columns if c.lower() not in RESULT]
     rows = docs.withColumn("__text", F.col(text)).select(*kept, "__text")
-    kinds = rows.select(*kept).schema
-    for name, kind in RESULT.items():
-        kinds = kinds.add(name, kind)
+    kinds = StructType(rows.select(*kept).schema.fields + StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in RESULT.items())).fields)
     arrow = to_arrow_schema(kinds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, jaccard_join, line_dedup, mixing, pii, quality_model, quality_rules, secret_scan, token_output, url_filter
+from . import change_applier, decontamination, jaccard_join, license_scan, line_dedup, mixing, pii, quality_model, quality_rules, secret_scan, token_output, url_filter
 from . import spans as S
 from .common import table
 
@@ -73,7 +73,26 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op2_jaccard_join": op2_jaccard_join, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op6_token_output": op6_token_output, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
+def op11_change_applier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return change_applier.apply(table(spark, sf_dir, "client_changes"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
+    words, listed = F.col("places.first_word"), lambda *c: F.array_join(F.array_sort(F.array_distinct(F.concat(*c))), ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(words).cast("long").alias("first_word"),
+        F.array_max(words).cast("long").alias("last_word"),
+        listed("places.label").alias("base_labels"),
+        listed("places.label", "matches.label").alias("labels"),
+        "score",
+    )
+
+
+QUERIES = {"op11_change_applier": op11_change_applier, "op12_license_scan": op12_license_scan, "op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op2_jaccard_join": op2_jaccard_join, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op6_token_output": op6_token_output, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
 ORACLE_SQL = {"op2_jaccard_join": jaccard_join.ORACLE, "op9_url_filter": url_filter.ORACLE}
 
 
