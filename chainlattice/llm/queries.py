@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import change_applier, decontamination, jaccard_join, license_scan, line_dedup, mixing, pii, quality_model, quality_rules, secret_scan, token_output, url_filter
+from . import change_applier, decontamination, jaccard_join, license_scan, line_dedup, mixing, pii, prefix_trie, quality_model, quality_rules, secret_scan, token_output, url_filter
 from . import spans as S
 from .common import table
 
@@ -92,7 +92,13 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op11_change_applier": op11_change_applier, "op12_license_scan": op12_license_scan, "op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op2_jaccard_join": op2_jaccard_join, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op6_token_output": op6_token_output, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = F.col("conv_id")
+    seqs = prefix_trie.sequences(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return prefix_trie.trie(prefix_trie.rebuilt(seqs, own - own % 100, (F.crc32(own.cast("string").cast("binary")) % 6).cast("int")))
+
+
+QUERIES = {"op13_prefix_trie": op13_prefix_trie, "op11_change_applier": op11_change_applier, "op12_license_scan": op12_license_scan, "op1_line_dedup": op1_line_dedup, "op7_decontamination": op7_decontamination, "op2_jaccard_join": op2_jaccard_join, "op3_secret_scan": op3_secret_scan, "op4_pii": op4_pii, "op5_mix": op5_mix, "op6_token_output": op6_token_output, "op8_quality_rules": op8_quality_rules, "op10_quality_model": op10_quality_model, "op9_url_filter": op9_url_filter}
 ORACLE_SQL = {"op2_jaccard_join": jaccard_join.ORACLE, "op9_url_filter": url_filter.ORACLE}
 
 
