@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,8 +33,11 @@ LABEL_ALIASES = (("gate.io", "gate_io"), ("gate.com", "gate_io"), ("circle inter
 Rules = list[tuple[str, str]]
 
 
-def _fixed(times: int) -> Column:
-    return F.sequence(F.lit(1), F.lit(times))
+def _until_fixed(text: Column, some: str, cut: Callable[[Column], Column]) -> Column:
+    """cut, repeated while something matches some. Each cut that changes a text takes one of its runs of word characters
+    at least, so as many rounds as it has runs reach the fixpoint; texts without a match take one round, which keeps them."""
+    runs = F.when(text.rlike(some), F.size(F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0))) + 1).otherwise(1)
+    return F.aggregate(F.sequence(F.lit(1), runs), text, lambda s, _: F.when(s.rlike(some), cut(s)).otherwise(s))
 
 
 def entity_root(name: Column) -> Column:
@@ -42,7 +46,7 @@ def entity_root(name: Column) -> Column:
     fits = F.coalesce(*[F.when(F.endswith(plain, F.lit(t)) & (F.char_length(plain) > len(t) + 1), F.lit(len(t))) for t in TLDS], F.lit(0))
     bare = F.substring(plain, F.lit(1), F.char_length(plain) - fits)
     roles = "(?:" + "|".join(map(re.escape, ROLES)) + r")\z"
-    cut = F.aggregate(_fixed(8), bare, lambda s, _: F.when(s.rlike(roles), strip(F.regexp_replace(s, roles, ""))).otherwise(s))
+    cut = _until_fixed(bare, roles, lambda s: strip(F.regexp_replace(s, roles, "")))
     return strip(F.regexp_replace(F.regexp_replace(cut, r":+\z", ""), r"-+\z", ""))
 
 
@@ -54,13 +58,13 @@ def _java(word: str) -> str:
     return re.sub(r"([^A-Za-z0-9 ])", r"\\\1", word)
 
 
-def normalize_name(name: Column, rounds: int = 6) -> Column:
+def normalize_name(name: Column) -> Column:
     """Lower case, without separators, legal forms at the end (as long as something stays) and marks."""
     text = _squeeze(F.regexp_replace(strip(F.lower(F.coalesce(name, F.lit("")))), "[,/_]", " "))
     endings = F.array(*[F.lit(rf"(?U)\b{_java(s)}\z") for s in LEGAL])
     some = rf"(?U)\b(?:{'|'.join(map(_java, LEGAL))})\z"  # one literal, compiled once: most names have no such ending
     once = lambda s: F.aggregate(endings, s, lambda a, e: F.coalesce(F.nullif(strip(F.regexp_replace(a, e, F.lit(""))), F.lit("")), a))
-    cut = F.aggregate(_fixed(rounds), text, lambda s, _: F.when(s.rlike(some), once(s)).otherwise(s))
+    cut = _until_fixed(text, some, once)
     return strip(_squeeze(F.regexp_replace(cut, r"(?U)[^\w\s]", " ")))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Words of each family, what must stand beside some, and the shapes of addresses.
@@ -25,20 +25,26 @@ def families_of(text: Column, families: dict[str, str] | None = None, beside: di
     return F.array_compact(F.array(*[F.when(low.rlike(p) & (low.rlike(also[f]) if f in also else F.lit(True)), F.lit(f)) for f, p in own.items()]))
 
 
+def _smallest(values: DataFrame, n: int, name: str) -> DataFrame:
+    """The n smallest distinct values v of each family: every task keeps n before they meet."""
+    place = F.row_number().over(Window.partitionBy("family").orderBy("v"))
+    return values.withColumn("place", place).where(F.col("place") <= n).groupBy("family").agg(F.sort_array(F.collect_list("v")).alias(name))
+
+
 def cells(rows: DataFrame, source: str, families: dict[str, str] | None = None, beside: dict[str, str] | None = None) -> DataFrame:
     """The source's cell of every family from rows (text, name, found: array of addresses): families are
     told row by row, so each row is read once and families without a match still get a cell."""
     own = families or FAMILIES
     each = rows.select(F.explode(families_of(F.col("text"), own, beside)).alias("family"), "name", "found")
-    counted = each.groupBy("family").agg(
-        F.count("*").alias("named_match_count"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("found")))).alias("all"),
-        F.slice(F.array_sort(F.collect_set(F.nullif(F.substring("name", 1, 80), F.lit("")))), 1, 3).alias("sample_names"),
-    )
+    named = each.groupBy("family").agg(F.count("*").alias("named_match_count"))
+    address = each.select("family", F.explode("found").alias("v")).distinct()
+    counts = address.groupBy("family").agg(F.count("v").alias("n_addresses"))
+    names = each.select("family", F.nullif(F.substring("name", 1, 80), F.lit("")).alias("v")).where("v is not null").distinct()
+    counted = named.join(counts, "family", "left").join(_smallest(address, 5, "all"), "family", "left").join(_smallest(names, 3, "sample_names"), "family", "left")
     grid = rows.sparkSession.createDataFrame([(f,) for f in own], "family string")
     return grid.join(counted, "family", "left").select(
-        "family", F.lit(source).alias("source"), F.coalesce(F.size("all"), F.lit(0)).alias("distinct_addresses"), F.coalesce("named_match_count", F.lit(0)).alias("named_match_count"),
-        F.slice(F.coalesce("all", F.array().cast("array<string>")), 1, 5).alias("sample_addresses"), F.coalesce("sample_names", F.array().cast("array<string>")).alias("sample_names"),
+        "family", F.lit(source).alias("source"), F.coalesce("n_addresses", F.lit(0)).cast("int").alias("distinct_addresses"), F.coalesce("named_match_count", F.lit(0)).alias("named_match_count"),
+        F.coalesce("all", F.array().cast("array<string>")).alias("sample_addresses"), F.coalesce("sample_names", F.array().cast("array<string>")).alias("sample_names"),
     )
 
 

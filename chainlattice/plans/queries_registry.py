@@ -11,7 +11,7 @@ from ..schema import LABEL
 from .catalog import query
 from .derive import evm, evm_sql, in_sql, pick, pick_sql, table
 
-_ROOTS = (" 14", " #3", ".com", " Hot Wallet", ": Deposit 2", " Exchange Reserve", "-", "")
+_ROOTS = (" 14", " #3", ".com", " Hot Wallet", ": Deposit 2", " Exchange Reserve", "-", "", " Wallet" * 11)
 _ROLES = "( Hot Wallet| Cold Wallet| Cold Storage| Hot Storage| Deposit| Settlement| Trading| Exchange| Reserve| Wallet)+$"
 
 
@@ -24,13 +24,13 @@ def entity_root_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part", "p_partkey", "p_brand").select("p_partkey", names.entity_root(name).alias("root"))
 
 
-_LEGAL = (" Ltd.", ", Inc", " GmbH", " Holdings Group", " Trust Company", " B.V.", "")
+_LEGAL = (" Ltd.", ", Inc", " GmbH", " Holdings Group", " Trust Company", " B.V.", "", " Group" * 40)
 
 
 @query(f"""with t as (select p_partkey, upper(p_name) || {pick_sql(_LEGAL, 'p_partkey')} as name from part),
 u as (select p_partkey, regexp_replace(lower(name), '[,/_]', ' ', 'g') as s from t),
 v as (select p_partkey, case when s like '%ltd.' then left(s, length(s) - 4) when s like '%  inc' then left(s, length(s) - 5) when s like '% gmbh' then left(s, length(s) - 5)
-  when s like '%holdings group' then left(s, length(s) - 15) when s like '%trust company' then left(s, length(s) - 14) else s end as s from u)
+  when s like '%holdings group' then left(s, length(s) - 15) when s like '% group group' then regexp_replace(s, '( group)+$', '') when s like '%trust company' then left(s, length(s) - 14) else s end as s from u)
 select p_partkey, trim(regexp_replace(regexp_replace(s, '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) as normal from v""")
 def name_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.upper("p_name"), pick(_LEGAL, F.col("p_partkey")))
@@ -222,16 +222,25 @@ def mixer_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 _DECLARED = ("type: 'intent'", "class ScalingProject", "ProjectPrivacyToken", "type: 'denomination'", "nothing")
 
 
-@query(f"""select o_orderkey as k, {evm_sql('o_custkey')} as escrow_address, {pick_sql(('eth', 'base'), 'o_orderkey')} as chain, {pick_sql(('bridge', 'scaling_l2', 'privacy', 'privacy', 'unknown'), 'o_orderkey')} as kind from orders where o_orderkey % 3 < 2""")
+@query(f"""select o_orderkey as k, {evm_sql('o_custkey')} as escrow_address, {pick_sql(('eth', 'base'), 'o_orderkey')} as chain, {pick_sql(('bridge', 'scaling_l2', 'privacy', 'privacy', 'unknown'), 'o_orderkey')} as kind from orders where o_orderkey % 3 < 2 or o_orderkey % 96 = 2""")
 def bridge_escrows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Escrows nested at different depths of JSON documents, with the kind of their project."""
+    """Escrows nested at different depths of JSON documents, up to 1,200 levels, with the kind of their project."""
     o = F.col("o_orderkey")
     inner = F.concat(F.lit('{"type":"balanceOfEscrow","escrowAddress":"'), evm(F.col("o_custkey")), F.lit('","chain":"'), pick(("eth", "base"), o), F.lit('"}'))
-    body = F.when(o % 3 == 0, F.concat(F.lit('{"a":[1,{"b":'), inner, F.lit("}]}"))).when(o % 3 == 1, F.concat(F.lit("["), inner, F.lit("]"))).otherwise('{"type":"other"}')
+    body = F.when(o % 3 == 0, F.concat(F.lit('{"a":[1,{"b":'), inner, F.lit("}]}"))).when(o % 3 == 1, F.concat(F.lit("["), inner, F.lit("]"))).when(o % 96 == 2, F.concat(F.repeat(F.lit("["), 1200), inner, F.repeat(F.lit("]"), 1200))).otherwise('{"type":"other"}')
     docs = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(o.alias("path"), body.alias("body"), bridges.classify(pick(_DECLARED, o))["kind"].alias("kind"))
     return bridges.walk(docs).join(docs.select("path", "kind"), "path").select(F.col("path").alias("k"), "escrow_address", "chain", "kind")
 
 
+@query("select o_orderkey as k from orders where o_orderkey % 7 in (0, 3)")
+def bridge_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are cut off or have a wrong bracket."""
+    o = F.col("o_orderkey")
+    whole = F.concat(F.lit('{"a":[1,{"type":"balanceOfEscrow","escrowAddress":"'), evm(F.col("o_custkey")), F.lit('"}]'))
+    body = F.when(o % 7 == 0, whole).when(o % 7 == 3, F.concat(whole, F.lit("]"))).otherwise(F.concat(whole, F.lit("}")))
+    return bridges.failures(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(o.alias("k"), body.alias("body")), "k").select("k")
+
+
 @query(f"""with f as (select {evm_sql('c_custkey % 40')} as address, 'Brand' || (c_custkey % 3) as name, c_custkey as ord from customer), s as (select {evm_sql('s_suppkey')} as address from supplier)
 select address, s.address is not null as was_there, count(f.name)::bigint as n_labels from f full join s using (address) group by all""")
 def spellbook_merge(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.address import canonical_case, chain_by_form
+from ..functions.arrays import running
 from ..functions.chains import EVM_CHAINS, lookup, strip
 from ..functions.text import links
 from ..schema import LABEL
@@ -163,10 +164,13 @@ def label_list(docs: DataFrame) -> DataFrame:
     field = lambda c: F.try_variant_get("v", f"$.{c}", "string").alias(c)
     root = docs.select(F.try_parse_json("body").alias("root"))
     top = root.selectExpr("schema_of_variant(root) as kind", "root").selectExpr("kind", "root", "posexplode(case when kind like 'ARRAY%' then try_variant_get(root, '$', 'array<variant>') end) as (idx, v)")
-    listed = top.select("idx", F.lit(None).cast("string").alias("key"), "v")
-    pairs = root.where("schema_of_variant(root) like 'OBJECT%'").select(F.posexplode(F.map_entries(F.expr("try_variant_get(root, '$', 'map<string,variant>')"))).alias("p", "e")).select("p", F.col("e.key").alias("key"), F.col("e.value").alias("v"))
-    grouped = pairs.where("schema_of_variant(v) like 'ARRAY%'").selectExpr("p", "key", "posexplode(try_variant_get(v, '$', 'array<variant>')) as (q, w)").select((F.col("p") * 1_000_000 + F.col("q")).cast("int").alias("idx"), F.col("key"), F.col("w").alias("v")).withColumn("by", F.lit("category"))
-    keyed = pairs.where("schema_of_variant(v) like 'OBJECT%'").select(F.col("p").alias("idx"), "key", "v").withColumn("by", F.lit("address"))
+    listed = top.select(F.col("idx").cast("long").alias("idx"), F.lit(None).cast("string").alias("key"), "v")
+    entries = root.where("schema_of_variant(root) like 'OBJECT%'").select(F.map_entries(F.expr("try_variant_get(root, '$', 'map<string,variant>')")).alias("entries"))
+    sizes = F.expr("transform(entries, e -> cast(coalesce(nullif(size(try_variant_get(e.value, '$', 'array<variant>')), -1), 0) as bigint))")
+    totals = entries.withColumn("sizes", sizes).withColumn("totals", running(F.col("sizes"), F.size("sizes"), lambda a, b: a + b, F.lit(0).cast("long")))
+    pairs = totals.select("sizes", "totals", F.posexplode("entries").alias("p", "e")).select("p", (F.expr("totals[p]") - F.expr("sizes[p]")).alias("before"), F.col("e.key").alias("key"), F.col("e.value").alias("v"))
+    grouped = pairs.where("schema_of_variant(v) like 'ARRAY%'").selectExpr("p", "key", "before", "posexplode(try_variant_get(v, '$', 'array<variant>')) as (q, w)").select((F.col("before") + F.col("q")).alias("idx"), F.col("key"), F.col("w").alias("v")).withColumn("by", F.lit("category"))
+    keyed = pairs.where("schema_of_variant(v) like 'OBJECT%'").select(F.col("p").cast("long").alias("idx"), "key", "v").withColumn("by", F.lit("address"))
     rows = listed.withColumn("by", F.lit("list")).unionByName(grouped).unionByName(keyed)
     out = rows.select("idx", "by", "key", *[field(c) for c in ("address", "label", "nameTag", "name", "category")], F.try_variant_get("v", "$.chainId", "int").alias("chainId"))
     return out.select("idx", F.when(F.col("by") == "address", F.coalesce("address", "key")).otherwise(F.col("address")).alias("address"), "label", "nameTag", "name", F.when(F.col("by") == "category", F.coalesce("category", "key")).otherwise(F.col("category")).alias("category"), "chainId")

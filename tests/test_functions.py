@@ -2,6 +2,8 @@
 
 import hashlib
 import html
+import random
+import re
 import time
 from html.entities import html5
 
@@ -128,3 +130,24 @@ def test_places_of_many_matches(spark):
     row = spark.range(1).select(text.places(F.repeat(F.lit("é ab x"), F.lit(100_000)), "ab").alias("p")).first()
     assert len(row.p) == 100_000 and all((p.at, p.till) == (6 * i + 2, 6 * i + 4) for i, p in enumerate(row.p))
     assert time.time() - start < 30
+
+
+def looped(name):
+    """The looping rule for legal forms at the end of a lower-case name without marks."""
+    while True:
+        before = name
+        for e in names.LEGAL:
+            cut = re.sub(rf"\b{re.escape(e)}\Z", "", name).strip()
+            name = cut or name
+        if name == before:
+            return " ".join(re.sub(r"[^\w\s]", " ", name).split())
+
+
+def test_endings_of_any_number(spark):
+    rng = random.Random(3)
+    forms = ["foo" + "".join(" " + rng.choice(names.LEGAL) for _ in range(n)) for n in range(41)] + ["foo" + " group" * 9, "group group", "n.a. na", ""]
+    roles = ["Foo" + "".join(rng.choice(names.ROLES) for _ in range(n)) for n in range(41)]
+    rows = spark.createDataFrame([(f, None) for f in forms] + [(None, r) for r in roles], "form string, role string")
+    got = rows.select("form", names.normalize_name(F.col("form")).alias("a"), "role", names.entity_root(F.col("role")).alias("b")).collect()
+    assert {r.form: r.a for r in got if r.form is not None} == {f: looped(f) for f in forms}
+    assert {r.b for r in got if r.role is not None} == {"Foo"}

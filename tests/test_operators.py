@@ -252,3 +252,12 @@ def test_walk_of_many_and_deep_documents(spark):
 def test_header_rules():
     """Each rule decides, in order."""
     assert [a for *_, a in pages.ANNOUNCES] == ["change", "removal", "designation", None, "change"]
+
+
+def test_walk_of_deep_large_and_broken_documents(spark):
+    inner = '{"type":"balanceOfEscrow","escrowAddress":"0x\\u0061","chain":"eth","address":null}'
+    bodies = {"deep": "[" * 5000 + inner + "]" * 5000, "twice": '{"type":"x","type":"balanceOfEscrow","escrowAddress":"0xb"}', "cut": "[" + inner, "wrong": "[" + inner + "}", "comma": "[1,]", "empty": "", "plain": f"[{inner}]", "null": None}
+    docs = spark.createDataFrame(list(bodies.items()), "path string, body string")
+    assert sorted((r.path, r.escrow_address, r.chain) for r in bridges.walk(docs).collect()) == [("deep", "0xa", "eth"), ("plain", "0xa", "eth"), ("twice", "0xb", None)]
+    assert sorted(r.path for r in bridges.failures(docs).collect()) == ["comma", "cut", "empty", "wrong"]
+    assert list(bridges.escrows('["' + "x" * 130_000_000 + f'",{inner}]')) == [("0xa", "eth", None)]
