@@ -21,7 +21,7 @@ changes: a client's changes are applied one after another, by one task. The rank
 Cases: changes without change_id or valid_at, or with crc32(change_id) divisible by 11, go after numbering.
 A null client is a client, a null seq the smallest. Days before the first batch fall into it. Repeated rows
 count once; different rows with one change_id compete by op, city and balance. NaN balances are null; operations other than I, U
-and D change nothing. Other columns are left out. An empty table gives no rows.
+and D change nothing. Other columns only tell rows apart. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ BATCHES, FIRST_DAY, DAYS = 10, 19723, 160
 #: Changes a bucket, on average.
 ROWS = 4096
 EVER = 2**31 - 1
+COLUMNS = ("change_id", "client_id", "seq", "op", "valid_at", "city", "balance")
 FEED = "bucket int, change_id long, client string, n long, day int, op string, city string, balance double"
 RESULT = "change_id long, client string, n long, op string, status string, batch int, missed long, city string, cents long"
 STATE = "wheel binary, clients binary"
@@ -51,7 +52,7 @@ STATE = "wheel binary, clients binary"
 def ranked(changes: DataFrame) -> DataFrame:
     """Distinct changes with n, the dense rank of seq per client_id. Distinct pairs are sorted by ranges, ranked inside
     each range, and moved by the client's pairs in earlier ranges: a client of many changes is spread."""
-    rows = durable(changes.distinct(), "changes")
+    rows = durable(changes.distinct().select(*COLUMNS), "changes")
     pairs = rows.select("client_id", "seq").distinct().repartitionByRange("client_id", "seq").withColumn("part", F.spark_partition_id())
     pairs = durable(pairs, "ranges")
     before = Window.partitionBy("client_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
