@@ -73,12 +73,27 @@ def test_change_applier(spark):
     assert sorted(map(tuple, got), key=key) == brute_changes(rows)
 
 
+def test_change_applier_splits_long_clients(spark, monkeypatch):
+    """Numbers of long clients in units of 3, so that runs and jumps cross many units and the scan has levels."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        client = rng.choice([1, 1, 1, None, 3, 4 + i])
+        seq = rng.randrange(260 if client in (1, None) else 5)
+        at = FIRST + datetime.timedelta(days=min(165, 5 * seq // 8 + rng.choice([0, 0, 1, 30])), hours=rng.randrange(24))
+        rows.append((i, client, seq, rng.choice("IUUUUUD"), at, rng.choice(["a", "b", "c", None]), rng.choice([1.005, -3.25, None, None]), "x", "y"))
+    want, df = brute_changes(rows), spark.createDataFrame(rows, CHANGES)
+    assert {r[3] for r in want} == set(range(1, 12)) and any(r[4] > 1 for r in want)
+    monkeypatch.setattr(change_applier, "SALTS", 4)
+    assert sorted(map(tuple, change_applier.apply(df, 3, 100).collect()), key=key) == want
+
+
 def test_wheel_visits_due_slots_only():
     bucket, out = change_applier.Bucket(), []
     bucket.take([(1, "a", 3, 10, "I", "x", 1.0), (2, "b", 2, 20, "I", "y", 2.0)], 1, out)
     assert set(bucket.wheel) == {18, 28} and not out
     bucket.tick(18, 2, out)
-    assert [(r[0], r[6]) for r in out] == [(1, 2)] and bucket.wheel == {28: {"b"}}
+    assert [(r[0], r[5]) for r in out] == [(1, 2)] and bucket.wheel == {28: {"b"}}
 
 
 def test_change_applier_without_rows(spark):
