@@ -8,8 +8,10 @@ characters, with one space between. Two searches go over it:
   (put in, left out or changed). By the pigeonhole principle a notice cut into one piece more than
   it may have edits keeps a piece unchanged; one pass of an automaton finds the pieces of all
   notices. Around each piece, the regex library's bounded-error matching looks for the best
-  passage, in a window of the notice's length and three times its edits at most. Equal windows,
-  as of passages that many documents share, are judged once in a batch of rows.
+  passage, in a window of the notice's length and three times its edits at most. An edit destroys
+  at most three of a notice's three-character sequences, so a window with fewer of them than all
+  edits leave holds no passage and is not matched (this is exact: no passage is lost). Equal windows, as of
+  passages that many documents share, are judged once in a batch of rows.
 
 The score is 1 with a phrase, else 1 less the share of edits of the best notice, 0 without any.
 
@@ -22,6 +24,7 @@ columns named like a result column are replaced, all others are kept. Nothing is
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -59,6 +62,8 @@ NOTICES = (
 )
 #: One edit for so many characters of a notice.
 SHARE = 12
+#: Characters of the sequences that a window is counted by.
+GRAM = 3
 RESULT = {
     "n_words": "long",
     "places": "array<struct<label:string,first_word:int>>",
@@ -86,6 +91,10 @@ def pieces(notice: str) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def grams(text: str) -> Counter[str]:
+    return Counter(text[i : i + GRAM] for i in range(len(text) - GRAM + 1))
+
+
 def normal(text: str | None) -> str:
     """The words of a text with one space between."""
     return b" ".join((text or "").encode("utf-8", "replace").translate(_WORD).split()).decode("utf-8")
@@ -106,6 +115,7 @@ class Notices:
         if places:
             self.automaton.make_automaton()
         self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n, literal_spaces=True)}){{e<={edits(n)}}}") for _, n in notices]
+        self.grams = [(grams(n), len(n) - GRAM + 1 - GRAM * edits(n)) for _, n in notices]
         self.judged: dict[tuple[int, str], Found | None] = {}
 
     def windows(self, words: str) -> dict[int, list[tuple[int, int]]]:
@@ -131,7 +141,8 @@ class Notices:
     def best(self, i: int, window: str) -> Found | None:
         key = (i, window)
         if key not in self.judged:
-            m = self.patterns[i].search(window)
+            own, least = self.grams[i]
+            m = self.patterns[i].search(window) if (own & grams(window)).total() >= least else None
             self.judged[key] = Found(m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
         return self.judged[key]
 

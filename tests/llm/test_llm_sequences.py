@@ -124,6 +124,22 @@ def test_license_notices_with_every_number_of_edits():
         assert label in {license_scan.NOTICES[i][0] for i, _ in sought.matches(words)}
 
 
+def test_license_windows_that_are_not_matched_hold_nothing():
+    """The count of sequences against the pattern alone, for windows with up to twice the edits that a notice may have."""
+    sought, rng = license_scan.Notices(license_scan.NOTICES[1:6]), random.Random(4)
+    found = 0
+    for i, (_, notice) in enumerate(license_scan.NOTICES[1:6]):
+        for n in range(2 * license_scan.edits(notice) + 1):
+            letters = list(notice)
+            for at in rng.sample(range(len(letters)), n):
+                letters[at] = rng.choice(["", "q", letters[at] + "q"])
+            window = "so " + "".join(letters) + " it"
+            m = sought.patterns[i].search(window)
+            assert sought.best(i, window) == (m and license_scan.Found(m.start(), m.end(), sum(m.fuzzy_counts)))
+            found += m is not None
+    assert found > 20
+
+
 def brute_trie(convs, base, head):
     nodes = {}
     for c, own in convs.items():
