@@ -7,7 +7,8 @@ A text's set is its distinct shingles of `width` words (the whole sequence if it
 Candidates. All shingles have a common order: rarer ones first, by counts of all documents in 2**20
 hash buckets, then by hash. Nodes that link share one of their first n - ceil(percent * n / 100) + 1
 shingles, so each node enters a tile for each of these: the tile of the shingle and of the node's band of
-sizes, of which the largest is at most 100 / percent times the smallest.
+sizes, of which the largest is at most 100 / percent times the smallest. All bands of a shingle are in one
+task, which drops a node that is alone in its tile only if the tiles of the bands beside it are empty too.
 
 Signatures. Each set has a bitmap in which every shingle flips one bit, of 64 bits up, growing with
 the set's size class (a larger one folds onto a smaller one). The bits that differ bound the
@@ -48,7 +49,7 @@ WIDTH, PERCENT = 4, 85
 BUCKETS, SLICES = 1 << 20, 64
 #: Rows of a few numbers that are broadcast at most (about 10 MB).
 BROADCAST_ROWS = 1 << 18
-PART = 1 << 18  # rows of a tile that are held at once where pieces will do, and pairs that a task remembers
+PART = 1 << 18  # rows of a group that are held at once where pieces will do, and pairs that a task remembers
 HOT, HOLD = 1 << 17, 1 << 13
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -151,7 +152,8 @@ def _ranks(sets: DataFrame) -> np.ndarray:
 
 
 def _entries(docs: DataFrame, ranks: np.ndarray, width: int, percent: int, seed: int, hot: int) -> DataFrame:
-    """For each node and each shingle of its prefix: tile, token, band, salts of the token, n, node, place of the shingle in the order."""
+    """For each node and each shingle of its prefix: home (of all bands of the token and salt), token, band, salts of the
+    token, n, node, place of the shingle in the order."""
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
     counts = np.exp2(np.arange(256) / 8.0)
     usual = 4 * float(counts[ranks].mean())
@@ -180,16 +182,16 @@ def _entries(docs: DataFrame, ranks: np.ndarray, width: int, percent: int, seed:
                 each, nodes, sizes = np.concatenate(token), np.repeat(np.array(node, np.int64), times), np.repeat(np.array(n, np.int32), times)
                 band, way = (np.searchsorted(limits, sizes, "right") if len(limits) else sizes).astype(np.int32), np.concatenate(ways)
                 salt = (nodes.view(np.uint64) >> np.uint64(20)) % way.astype(np.uint64)
-                tile = (each ^ band.astype(np.uint64) * _MIX ^ (salt + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03)) * _MIX
-                columns = [(tile ^ (tile >> np.uint64(29))).view(np.int64), each.view(np.int64), band, way.astype(np.int32), sizes, nodes, place]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["tile", "token", "band", "salts", "n", "node", "place"])
+                home = (each ^ (salt + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03)) * _MIX
+                columns = [(home ^ (home >> np.uint64(29))).view(np.int64), each.view(np.int64), band, way.astype(np.int32), sizes, nodes, place]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["home", "token", "band", "salts", "n", "node", "place"])
 
-    return docs.select("text").mapInArrow(trimmed(run), "tile long, token long, band int, salts int, n int, node long, place int")
+    return docs.select("text").mapInArrow(trimmed(run), "home long, token long, band int, salts int, n int, node long, place int")
 
 
 def _held(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[tuple[list[np.ndarray], bool]]:
-    """The columns of sorted batches in pieces that end with a tile (first column), and whether they
-    do: a tile of more than `part` rows comes in several pieces."""
+    """The columns of sorted batches in pieces that end with a group (first column), and whether they
+    do: a group of more than `part` rows comes in several pieces."""
     rest: list[np.ndarray] = []
     for batch in batches:
         own = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(batch.num_columns)]
@@ -207,31 +209,38 @@ def _held(batches: Iterator[pa.RecordBatch], part: int) -> Iterator[tuple[list[n
 
 
 def _tiles(entries: DataFrame, percent: int) -> DataFrame:
-    """The entries of tiles with two nodes or more, or with salts, each with the tile's pivot, or itself
-    where it can't link with that: the pivot is the node in whose order the tile's shingle comes first."""
+    """The entries of tiles with two nodes or more, with nodes in the next band or with salts, each with the
+    tile's pivot, or itself where it can't link with that: the pivot is the node in whose order the tile's
+    shingle comes first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begun = None  # number, pivot, its place and size, of a tile that came in part
+        begun = None  # home, band, pivot, its place and size, of a home that came in part
         for columns, whole in _held(batches, PART):
-            tile, node = columns[0], columns[5]
-            keep = np.append(True, (tile[1:] != tile[:-1]) | (node[1:] != node[:-1]))
-            tile, token, band, salts, n, node, place = (x[keep] for x in columns)
-            starts = np.nonzero(np.append(True, tile[1:] != tile[:-1]))[0]
-            sizes = np.append(starts[1:], len(tile)) - starts
+            home, node = columns[0], columns[5]
+            keep = np.append(True, (home[1:] != home[:-1]) | (node[1:] != node[:-1]))
+            home, token, band, salts, n, node, place = (x[keep] for x in columns)
+            starts = np.nonzero(np.append(True, (home[1:] != home[:-1]) | (band[1:] != band[:-1])))[0]
+            sizes = np.append(starts[1:], len(home)) - starts
             several = (sizes > 1) | (salts[starts] > 1)
+            beside = (home[starts[1:]] == home[starts[:-1]]) & (band[starts[1:]] == band[starts[:-1]] + 1)
+            several[1:] |= beside
+            several[:-1] |= beside
             heads = [node[starts], place[starts], n[starts]]
-            if begun is not None and begun[0] == tile[0]:
-                several[0] = True
-                for head, old in zip(heads, begun[1:], strict=True):
-                    head[0] = old
-            begun = None if whole else (tile[-1], *(x[-1] for x in heads))
+            if begun is not None and begun[0] == home[0]:
+                several |= home[starts] == home[0]
+                if begun[1] == band[0]:
+                    for head, old in zip(heads, begun[2:], strict=True):
+                        head[0] = old
+            if not whole:  # a piece of one home: its bands may go on
+                several[:] = True
+            begun = None if whole else (home[-1], band[-1], *(x[-1] for x in heads))
             pivot, spot, pn = (np.repeat(x, sizes) for x in heads)
             pivot = np.where(reachable(spot, pn, place, n, percent), pivot, node)
             out = np.repeat(several, sizes)
             if out.any():
                 yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in (token, band, salts, n, node, place, pivot)], names=["token", "band", "salts", "n", "node", "place", "pivot"])
 
-    held = entries.repartition("tile").sortWithinPartitions("tile", "place", "node")
+    held = entries.repartition("home").sortWithinPartitions("home", "band", "place", "node")
     return durable(held.mapInArrow(trimmed(run), "token long, band int, salts int, n int, node long, place int, pivot long"), "tiles", 10_000)
 
 

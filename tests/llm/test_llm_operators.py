@@ -164,6 +164,21 @@ def test_jaccard_hot_tiles(spark, hot, hold):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("width, percent", [(4, 85), (5, 80)])
+@pytest.mark.parametrize("part", [1 << 18, 3])
+def test_jaccard_links_of_lone_nodes_in_neighbouring_bands(spark, monkeypatch, width, percent, part):
+    """Pairs of texts that are alone in their bands, one on either side of a limit, and chains over three bands."""
+    monkeypatch.setattr(jaccard_join, "PART", part)
+    rows, key = [], 0
+    for limit in [x for x in jaccard_join.bands(percent).tolist() if 20 < x < 400]:
+        words = [f"b{limit}w{i}" for i in range(2 * limit + width)]
+        for n in (limit - 1, limit, limit * 100 // percent):
+            rows.append((key := key + 1, " ".join(words[: n + width - 1])))
+    got = jaccard_join.link(docs(spark, *rows), width=width, percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows, width, percent)
+    assert len({r.component_id for r in got}) == len(rows) / 3
+
+
 def test_bands():
     for percent in (50, 80, 85, 99, 100):
         limits = jaccard_join.bands(percent)
