@@ -14,7 +14,7 @@ from .derive import evm, evm_sql, pick, pick_sql, table
 
 @query(r"""select page_id, replace(replace(replace(replace(replace(escaped, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as title from (select page_id, nullif(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')), '') as escaped from pages)""")
 def page_title_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages", "page_id", "html").select("page_id", T.title(F.col("html")).alias("title"))
+    return table(spark, sf_dir, "pages", "page_id", "html").select("page_id", T.heading(F.col("html")).alias("title"))
 
 
 @query("""select page_id, link from (select page_id, unnest(list_distinct(regexp_extract_all(html, 'href="([^"]+)"', 1))) as link from pages)""")

@@ -7,12 +7,14 @@ import re
 import time
 from html.entities import html5
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from chainlattice.functions import address, base58, chains, dates, names, text
+from chainlattice.plans.catalog import ORACLE_SQL
 
 B58 = base58.ALPHABET
 
@@ -115,6 +117,17 @@ def test_text(spark):
     assert values(spark, text.deobfuscate(x), '"ab" + "cd"') == ['"abcd"']
 
 
+def test_heading_keeps_references_that_are_cut_off(spark):
+    """As the SQL of page_title_extract has it."""
+    texts = ["<h1>a&&amp</h1>", "<h1 x>A &amp;lt; &quot;b&quot; &#39;&lt;&gt;</h1>", "<h1> <b> </b>\n</h1>", "<h1>\x0ba\u00a0 &eacute; &copy</h1>", "<h1>open", "", None, "<H1>A</H1><h1>b</h1><h1>c</h1>", "<h1>a<script>b</script></h1>"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "page_id int, html string")
+    got = rows.select("page_id", text.heading(F.col("html")).alias("title")).collect()
+    con = duckdb.connect()
+    con.execute("create table pages (page_id int, html varchar)")
+    con.executemany("insert into pages values (?, ?)", list(enumerate(texts)))
+    assert sorted(map(tuple, got)) == sorted(con.execute(ORACLE_SQL["page_title_extract"]).fetchall())
+
+
 def test_unescape_is_the_standard_one(spark):
     """Named, numeric and broken references, as the standard library resolves them."""
     numbers = [0, 1, 9, 11, 13, 38, 127, 128, 129, 150, 159, 160, 8364, 55296, 57343, 64976, 65534, 65536, 131071, 1114111, 1114112, 10**25]
