@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .chains import lookup, strip
+from .chains import let, lookup, strip
 
 # Fixed values.
 TLDS = (".com", ".net", ".io", ".exchange", ".co")
@@ -54,18 +54,28 @@ def _squeeze(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)\s+", " ")
 
 
-def _java(word: str) -> str:
-    return re.sub(r"([^A-Za-z0-9 ])", r"\\\1", word)
+def _without_forms(text: Column) -> Column:
+    """Text without legal forms at its end, which are tried in their order, again and again until none is left or
+    nothing would stay. A form begins at a bound of a word. Only those that the text has somewhere are tried, as
+    plain strings; each cut takes a run of word characters at least, so as many rounds as it has runs do."""
+    forms = F.filter(F.array(*map(F.lit, LEGAL)), lambda e: F.contains(text, e))
+
+    def cut(a: Column, e: Column) -> Column:
+        rest = F.substring(a, F.lit(1), F.char_length(a) - F.char_length(e))
+        bound = rest.rlike(r"(?U)\b\z") == F.startswith(e, F.lit("("))
+        return F.when(F.endswith(a, e), F.when(bound & (strip(rest) != ""), strip(rest)).otherwise(a)).otherwise(a)
+
+    def rounds(own: Column) -> Column:
+        runs = F.when(F.exists(own, lambda e: F.endswith(text, e)), F.size(F.regexp_extract_all(text, F.lit(r"(?U)\w+"), F.lit(0))) + 1).otherwise(1)
+        return F.aggregate(F.sequence(F.lit(1), runs), text, lambda s, _: F.aggregate(own, s, cut))
+
+    return let(forms, rounds)
 
 
 def normalize_name(name: Column) -> Column:
     """Lower case, without separators, legal forms at the end (as long as something stays) and marks."""
     text = _squeeze(F.regexp_replace(strip(F.lower(F.coalesce(name, F.lit("")))), "[,/_]", " "))
-    endings = F.array(*[F.lit(rf"(?U)\b{_java(s)}\z") for s in LEGAL])
-    some = rf"(?U)\b(?:{'|'.join(map(_java, LEGAL))})\z"  # one literal, compiled once: most names have no such ending
-    once = lambda s: F.aggregate(endings, s, lambda a, e: F.coalesce(F.nullif(strip(F.regexp_replace(a, e, F.lit(""))), F.lit("")), a))
-    cut = _until_fixed(text, some, once)
-    return strip(_squeeze(F.regexp_replace(cut, r"(?U)[^\w\s]", " ")))
+    return strip(_squeeze(F.regexp_replace(let(text, _without_forms), r"(?U)[^\w\s]", " ")))
 
 
 def label_brand(label: Column) -> Column:
