@@ -10,20 +10,23 @@ from ..functions.names import Rules, label_brand, label_to_canonical
 
 def label_index(store: DataFrame, aliases: Rules, exact: dict[str, str]) -> DataFrame:
     """address, chain, raw_label_names and canonical_id (null: unmapped) of every address with an exchange
-    label. The first label that maps decides; names are mapped once each."""
+    label. The first label that maps decides; names are mapped once each. Labels that map to nothing are told
+    from others by min_by's order: a filter on the id would be pushed below the distinct names, to every row."""
     exchange = F.filter("labels", lambda x: F.lower(F.coalesce(x["type"], F.lit(""))) == "exchange")
     rows = store.select("address", F.coalesce("chain", F.lit("unknown")).alias("chain"), F.transform(exchange, lambda x: F.coalesce(x["name"], F.lit(""))).alias("raw_label_names")).where(F.size("raw_label_names") > 0)
     each = rows.select("address", F.posexplode("raw_label_names").alias("pos", "name"))
     ids = each.select("name").distinct().withColumn("canonical_id", label_to_canonical(F.col("name"), aliases, exact))
-    first = each.join(ids, "name").where("canonical_id is not null").groupBy("address").agg(F.min_by("canonical_id", "pos").alias("canonical_id"))
+    mapped = F.when(F.col("canonical_id").isNotNull(), F.col("pos"))
+    first = each.join(ids, "name").groupBy("address").agg(F.min_by("canonical_id", mapped).alias("canonical_id"))
     return rows.join(first, "address", "left")
 
 
 def unmapped_brands(index: DataFrame, k: int = 40) -> DataFrame:
-    """The most frequent brands of unmapped addresses' labels."""
+    """The most frequent brands of unmapped addresses' labels. Names are counted first, so each is cut to its brand once."""
     brand = label_brand(F.col("name"))
-    each = index.where("canonical_id is null").select(F.explode("raw_label_names").alias("name")).select(F.when(brand == "", "(empty)").otherwise(brand).alias("brand"))
-    return each.groupBy("brand").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "brand").limit(k)
+    each = index.where("canonical_id is null").select(F.explode("raw_label_names").alias("name")).groupBy("name").agg(F.count("*").alias("n"))
+    brands = each.select(F.when(brand == "", "(empty)").otherwise(brand).alias("brand"), "n")
+    return brands.groupBy("brand").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "brand").limit(k)
 
 
 def build(directory: DataFrame, index: DataFrame) -> DataFrame:

@@ -270,3 +270,16 @@ def test_page_records_look_for_addresses_once(spark):
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
     context = out.first()["labels"][0]["context"]
     assert (context["action"], context["action_evidence"], context["sections"]) == (pages.page_actions(pages.address_actions(rows)).first()["action"], "section", ["designation", "removal"])
+
+
+def test_names_of_labels_are_mapped_once_each(spark):
+    from chainlattice.operators import vasp_map
+
+    label = lambda name, kind="exchange": f"named_struct('name', {name}, 'type', '{kind}')"
+    labels = {"a": [label("'Foo Ltd: 1'"), label("'Red 2'")], "b": [label("''"), label("'Red 3'")], "c": [label("'Binance OKX'"), label("null")], "d": [label("'Red'", "other")], "e": [label("'Binance OKX 7'")]}
+    store = spark.range(1).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*[F.expr(f"array({', '.join(x)})") for x in labels.values()]))).alias("address", "labels")).withColumn("chain", F.lit("eth"))
+    index = vasp_map.label_index(store, [("red", "r")], {})
+    assert {r.address: r.canonical_id for r in index.collect()} == {"a": "name::foo", "b": "alias::r", "c": None, "e": None}
+    assert [(r.brand, r.n) for r in vasp_map.unmapped_brands(index).collect()] == [("binance okx", 2), ("(empty)", 1)]
+    for rows in (index, vasp_map.unmapped_brands(index)):  # no rule in a filter, which Spark would push to every row
+        assert not [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "regexp_replace" in x]
