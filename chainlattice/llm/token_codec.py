@@ -41,7 +41,7 @@ ROOM, CLASSES = 1 << LEVELS, 1 << LEVELS * STOREYS
 REACH, RATE, START, SETS = 2047, 10, (6000, 5500, 6500), 16
 FIRST = 7  # the count with which order 0 starts
 SHARES = 1 << 15  # of a class, dealt to its ids
-SWEEPS, SAMPLE = 12, 1 << 19  # of the ordering
+SWEEPS = 12  # of the ordering
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -64,16 +64,23 @@ WEIGHT = np.array([round(2 ** (i / 8)) for i in range(256)], np.int64)
 
 def ordered(symbols: np.ndarray, distinct: int) -> np.ndarray:
     """The symbols in an order that puts those with like neighbours side by side: a few sweeps towards the
-    second eigenvector of the graph of neighbours. It only matters for size, not for reading."""
-    part = symbols[:SAMPLE]
-    if distinct < 3 or len(part) < 2:
+    second eigenvector of the graph of neighbours, whose edges are the pairs of the whole segment with their
+    counts. It only matters for size, not for reading."""
+    if distinct < 3 or len(symbols) < 2:
         return np.arange(distinct)
-    a, b = part[:-1], part[1:]
-    degree = np.bincount(a, minlength=distinct) + np.bincount(b, minlength=distinct) + 1e-9
+    pairs = symbols[:-1].astype(np.uint32 if distinct <= 1 << 16 else np.int64)
+    pairs *= distinct
+    np.add(pairs, symbols[1:], out=pairs, casting="unsafe")
+    pairs.sort()
+    first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+    times = np.diff(np.append(first, len(pairs)))
+    a, b = np.divmod(pairs[first].astype(np.int64), distinct)
+    del pairs
+    degree = np.bincount(a, times, distinct) + np.bincount(b, times, distinct) + 1e-9
     place = np.random.default_rng(1).standard_normal(distinct)
     for _ in range(SWEEPS):
         place -= (place * degree).sum() / degree.sum()
-        place = (np.bincount(a, place[b], distinct) + np.bincount(b, place[a], distinct)) / degree + 0.3 * place
+        place = (np.bincount(a, place[b] * times, distinct) + np.bincount(b, place[a] * times, distinct)) / degree + 0.3 * place
         place /= np.abs(place).max() + 1e-12
     return np.argsort(place, kind="stable")
 
@@ -264,8 +271,10 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         levels = np.minimum(255, np.round(8 * np.log2(counts[order]))).astype(np.uint8)
         packed = zlib.compress(known[order].astype("<u4").tobytes() + levels.tobytes(), 6)
         rows = np.zeros(len(lengths) * block, np.int32)
-        rows[: len(ids)] = rank[symbols]
-        lanes = Lanes(Shape(levels), lengths, np.ascontiguousarray(rows.reshape(-1, block).T), None)
+        rank.take(symbols, out=rows[: len(ids)], mode="clip")
+        del symbols
+        rows = np.ascontiguousarray(rows.reshape(-1, block).T)
+        lanes = Lanes(Shape(levels), lengths, rows, None)
         lanes.run()
         parts = lanes.parts()
         heads = b"".join(struct.pack("<IIII", n, len(p), zlib.crc32(ids[i * block : i * block + n]), zlib.crc32(p)) for i, (n, p) in enumerate(zip(lengths.tolist(), parts, strict=True)))

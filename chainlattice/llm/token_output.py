@@ -39,7 +39,7 @@ from pyspark.sql.window import Window
 from .common import shared_path, shuffle_partitions, slices, small_batches, trim, trimmed
 from .token_codec import decode, encode
 
-END, SEGMENT, CACHE, PART = 1, 1 << 21, 200_000, 128 << 20
+END, SEGMENT, CACHE, PART, ROUND = 1, 1 << 21, 200_000, 128 << 20, 2048
 _OPEN: dict[tuple[str, bool], Pieces] = {}
 
 
@@ -60,7 +60,9 @@ class Pieces:
         self.tokenizer, self.pieces, self.known = Tokenizer.from_file(path), pieces, {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, np.uint32).tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """Each text's ids. The tokenizer's own records of a text are many times its ids, so it gets ROUND texts at once."""
+        rounds = (self.tokenizer.encode_batch_fast(texts[i : i + ROUND], add_special_tokens=False) for i in range(0, len(texts), ROUND))
+        return [np.array(x.ids, np.uint32).tobytes() for own in rounds for x in own]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, with END."""
@@ -92,11 +94,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
         keys, ids, n = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([keys], schema.field("keys").type), pa.array([[len(x) for x in ids]], pa.list_(pa.int32())), pa.array([n], pa.int64()), pa.array([encode(np.concatenate(ids))], pa.binary())]
+            sizes, whole = [len(x) for x in ids], np.concatenate(ids)
+            ids.clear()
+            columns = [pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([keys], schema.field("keys").type), pa.array([sizes], pa.list_(pa.int32())), pa.array([n], pa.int64()), pa.array([encode(whole)], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
         schema = None
-        for batch in slices(batches, 512):
+        for batch in slices(batches, 128):
             if schema is None:
                 schema = pa.schema([("shard", pa.int32()), ("number", pa.int32()), ("keys", pa.list_(batch.column(0).type)), ("sizes", pa.list_(pa.int32())), ("n", pa.int64()), ("data", pa.binary())])
                 coder = opened(tokenizer, pieces)

@@ -493,6 +493,16 @@ def test_codec_of_the_least_likely_ids():
     assert (token_codec.decode(token_codec.encode(ids, 512)) == ids).all()
 
 
+def test_codec_orders_by_the_whole_segment():
+    """Ids that appear only late in a segment are placed by their neighbours too: two families of ids, each among its own."""
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([np.zeros(1 << 19, np.int64)] + [1 + 2 * rng.integers(0, 200, 500) + i % 2 for i in range(400)])
+    place = np.argsort(token_codec.ordered(ids, 401))
+    odd, even = place[1::2], place[2::2]
+    assert odd.max() < even.min() or even.max() < odd.min()
+    assert (token_codec.decode(token_codec.encode(ids)) == ids).all()
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables here")
 def test_codec_beats_order_0_on_real_texts(spark):
     texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(400).collect()]
