@@ -3,32 +3,37 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import place
 
-def place(spark: SparkSession, name: str) -> str:
-    """A fresh path in the session's shared folder, or in a temporary one of a local session; gone when the application ends."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{(base or tempfile.gettempdir()).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+
+#: Rows of a landed file.
+PART = 100_000
 
 
-def landed(rows: DataFrame, line: Column, order: str, name: str, root: str | None = None) -> str:
-    """A folder with one text file: a line for each row, in order, inside an XML root element if one is named."""
+def landed(rows: DataFrame, line: Column, order: str, name: str, root: str | None = None, one: bool = False) -> str:
+    """A folder of text files: a line for each row, in order, inside an XML root element of each file if one is named.
+    A file has about PART rows and is one task's; one: a single file, for formats whose header or order is the file's."""
     spark = rows.sparkSession
     path = place(spark, name)
     lines = rows.select(F.col(order).cast("long").alias("k"), line.alias("value"))
-    if root:
-        lines = lines.unionByName(spark.createDataFrame([(-1, f"<{root}>"), (1 << 60, f"</{root}>")], "k long, value string"))
-    lines.orderBy("k").select("value").coalesce(1).write.text(path)
+    parts = 1 if one else max(1, -(-rows.count() // PART))
+
+    def rooted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("value", pa.string())])
+        own = lambda values: pa.RecordBatch.from_arrays([values], schema=schema)
+        yield own(pa.array([f"<{root}>"]))
+        for batch in batches:
+            yield own(batch.column(0))
+        yield own(pa.array([f"</{root}>"]))
+
+    sorted_lines = lines.repartitionByRange(parts, "k").sortWithinPartitions("k").select("value")
+    (sorted_lines.mapInArrow(rooted, "value string") if root else sorted_lines).write.text(path)
     return path
 
 

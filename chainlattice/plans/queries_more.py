@@ -177,7 +177,7 @@ def command_tron_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def command_label_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing is written without --execute; with it, the label set and its manifest."""
     line = F.concat(F.lit('{"chain":"eth","address":"'), evm(F.col("n_nationkey")), F.lit('","classes":["c"],"anchor_type":"a","method":"m","source_url":"u","source_date":"2024-01-01"}'))
-    batch = landed(table(spark, sf_dir, "nation"), line, "n_nationkey", "batch")
+    batch = landed(table(spark, sf_dir, "nation"), line, "n_nationkey", "batch", one=True)
     found = []
     for extra in ([], ["--execute"]):
         out = files(spark, {"x": ""}, "set")

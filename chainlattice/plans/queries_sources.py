@@ -299,7 +299,7 @@ def esma_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.when(k % 4 == 3, "").otherwise(pick(("01/02/2024", "2024-02-01"), k))
     line = F.concat(F.when(k % 2 == 0, F.concat(F.lit("LEI"), k.cast("string"))).otherwise(""), F.lit(',"Legal, AG","�'), F.col("s_name"), F.lit('",'), pick(("DE", "FR", "AT"), k), F.lit(","), day, F.lit(","), F.when(k % 4 == 0, "03/04/2025").otherwise(""), F.lit(",w"), k.cast("string"))
     rows = table(spark, sf_dir, "supplier").select(k.alias("k"), line.alias("line"))
-    path = landed(rows.unionByName(rows).unionByName(spark.createDataFrame([(-1, header)], "k long, line string")), F.col("line"), "k", "esma")
+    path = landed(rows.unionByName(rows).unionByName(spark.createDataFrame([(-1, header)], "k long, line string")), F.col("line"), "k", "esma", one=True)
     records = registers.esma(registers.read_esma(spark, path), "2024-05-05", "https://e", "casp").withColumn("ord", F.monotonically_increasing_id())
     united = registers.esma_united(records, "ord")
     return united.select(F.substring(F.col("extras")["_esma_website"], 2, 20).cast("long").alias("k"), "entity_name", "jurisdiction", "license_id", "license_status", F.col("extras")["_esma_authorisation_date"].alias("authorised"), "address")
@@ -328,7 +328,7 @@ def finma_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     row = lambda mark: F.concat(F.col("s_name"), F.lit(mark), F.lit(" AG;Z;;;;"), kind, F.lit(";U"), k.cast("string"))
     rows = table(spark, sf_dir, "supplier").select((2 * k).alias("k"), row(" old").alias("line")).unionByName(table(spark, sf_dir, "supplier").select((2 * k + 1).alias("k"), row("").alias("line")))
     header = spark.createDataFrame([(-1, "Name;City;AuthorisationTypeDE;AuthorisationTypeFR;AuthorisationTypeIT;AuthorisationTypeEN;UID")], "k long, line string")
-    found = registers.read_finma(spark, landed(rows.unionByName(header), F.col("line"), "k", "finma")).withColumn("ord", F.monotonically_increasing_id())
+    found = registers.read_finma(spark, landed(rows.unionByName(header), F.col("line"), "k", "finma", one=True)).withColumn("ord", F.monotonically_increasing_id())
     out = registers.finma(registers.finma_kept(found, ["Supplier", "Supp"], "ord"), "2024-05-05", "u")
     return out.select("license_id", "entity_name", F.col("extras")["_ch_match_reason"].alias("reason"), F.col("extras")["_ch_legal_form"].alias("legal_form"), "address")
 

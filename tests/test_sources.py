@@ -163,3 +163,15 @@ def test_registers(spark, tmp_path):
     assert ny.address == "nydfs::paxos_trust"
     tags = spark.createDataFrame([("T1", "Binance-Hot 1"), ("T2", "Who: 3"), ("T3", None), ("T4", "SR-x"), ("T5", "")], "address string, tag string")
     assert {r.address: (r.entity_name, r.category) for r in registers.tronscan(tags, "d").collect()} == {"T1": ("Binance", "vasp"), "T2": ("Who", "exchange_depositor")}
+
+
+def test_landed_rows_are_dealt_over_files(spark, monkeypatch):
+    from chainlattice.plans import landing
+
+    monkeypatch.setattr(landing, "PART", 10)
+    rows = spark.range(35).withColumn("line", landing.tag("entity", F.col("id").cast("string"), id=F.col("id")))
+    path = landing.landed(rows, F.col("line"), "id", "xml", "all")
+    got = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).where(F.startswith("value", F.lit("<entity"))).groupBy("file").count().collect()
+    assert len(got) > 1 and sum(r["count"] for r in got) == 35 and max(r["count"] for r in got) < 35
+    assert {r._id for r in spark.read.format("xml").option("rowTag", "entity").schema("_id long").load(path).collect()} == set(range(35))
+    assert spark.read.text(landing.landed(rows, F.col("line"), "id", "one", one=True)).select("_metadata.file_name").distinct().count() == 1
