@@ -5,11 +5,14 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import BATCH, FLAGS, LABEL, LABEL_SET, RECORD, SCALARS
+from ..shared import place
 
 _KINDS = {"address": "string", "chain": "string"} | dict.fromkeys(FLAGS, "boolean") | dict.fromkeys(SCALARS, "string") | {"last_verified": "string"}
 _COLUMNS = ["address", "chain", "labels", *FLAGS, *SCALARS, "last_verified", "extras"]
@@ -87,17 +90,42 @@ def content_digest(df: DataFrame) -> str:
 
 
 def write_store(store: DataFrame, path: str) -> int:
-    """The store as one JSON object in order of ord, row by row; null fields are left out. The number of records."""
+    """The store as one JSON object in order of ord; null fields are left out. The number of records.
+
+    Tasks write the records as sorted parts in the shared folder; the driver only appends their bytes, a buffer at a time."""
+    spark = store.sparkSession
     kept = [c for c in store.columns if c not in ("ord", "extras", "n_records")]
     rows = store.orderBy("ord").select("address", F.to_json(F.struct(*kept)).alias("j"), F.to_json("extras").alias("x"))
-    n = 0
-    with open(path, "w", encoding="utf-8") as f:
-        f.write("{")
-        for r in rows.toLocalIterator():
-            record = json.loads(r.j) | json.loads(r.x or "{}")
-            f.write(("," if n else "") + "\n" + json.dumps(r.address) + ": " + json.dumps(record, ensure_ascii=False))
-            n += 1
-        f.write("\n}\n")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for address, j, x in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                lines.append(json.dumps(address) + ": " + json.dumps(json.loads(j) | json.loads(x or "{}"), ensure_ascii=False) + ",")
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+    parts = place(spark, "store-parts")
+    rows.mapInArrow(run, "value string").write.text(parts)
+    n = spark.read.text(parts).count()
+    with open(path, "wb") as f:
+        f.write(b"{\n" if n else b"{")
+    hadoop = spark._jvm.org.apache.hadoop
+    where = hadoop.fs.Path(parts)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(x.getPath().toString() for x in fs.listStatus(where) if x.getPath().getName().startswith("part-"))
+    out = spark._jvm.java.io.FileOutputStream(path, True)
+    for name in names:
+        part = fs.open(hadoop.fs.Path(name))
+        hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+        part.close()
+    out.close()
+    fs.delete(where, True)
+    with open(path, "r+b") as f:
+        if n:
+            f.seek(-2, os.SEEK_END)  # the last record's comma
+            f.truncate()
+        f.seek(0, os.SEEK_END)
+        f.write(b"\n}\n")
     return n
 
 

@@ -175,3 +175,20 @@ def test_landed_rows_are_dealt_over_files(spark, monkeypatch):
     assert len(got) > 1 and sum(r["count"] for r in got) == 35 and max(r["count"] for r in got) < 35
     assert {r._id for r in spark.read.format("xml").option("rowTag", "entity").schema("_id long").load(path).collect()} == set(range(35))
     assert spark.read.text(landing.landed(rows, F.col("line"), "id", "one", one=True)).select("_metadata.file_name").distinct().count() == 1
+
+
+def test_store_is_written_by_tasks(spark, tmp_path, monkeypatch):
+    import pyspark.sql.classic.dataframe as classic
+
+    def refuse(*_, **__):
+        raise AssertionError("rows go to the driver")
+
+    for name in ("toLocalIterator", "collect", "toPandas", "toArrow"):
+        monkeypatch.setattr(classic.DataFrame, name, refuse)
+    rows = spark.range(500, numPartitions=7).select((500 - F.col("id")).alias("ord"), F.concat(F.lit('é" \n'), F.col("id").cast("string")).alias("address"), F.lit("eth").alias("chain"), F.lit(None).cast("string").alias("entity_name"), F.create_map(F.lit("_x"), F.col("id").cast("string")).alias("extras"))
+    path = str(tmp_path / "store.json")
+    assert stores.write_store(rows, path) == 500
+    with open(path, encoding="utf-8", newline="") as f:
+        text = f.read()
+    assert text == "{" + ",".join("\n" + json.dumps(f'é" \n{i}') + ": " + json.dumps({"address": f'é" \n{i}', "chain": "eth", "_x": str(i)}, ensure_ascii=False) for i in range(499, -1, -1)) + "\n}\n"
+    assert stores.write_store(rows.where("ord < 0"), path) == 0 and (tmp_path / "store.json").read_text() == "{\n}\n"
