@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from chainlattice.plans.catalog import ORACLE_SQL, QUERIES
 
@@ -47,3 +48,8 @@ def test_entry(spark):
 
     assert e.entry(spark).columns[0] == "address"
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_base58_keys_are_dealt_over_tasks(spark):
+    tasks = QUERIES["base58_round_trip"](spark, SF).select("c_custkey", F.spark_partition_id().alias("task"))
+    assert tasks.select("task").distinct().count() > 1
