@@ -5,14 +5,16 @@ checksums, so blocks are read independently. All that they share is in the segme
 header: its distinct ids in an order that puts ids with like neighbours side by side, and about how
 often each occurs. The order is cut into 64 classes of about the same weight.
 
-An id is coded as the six branches that lead to its class in a binary tree, and its place inside the
-class by the header's frequencies. At each branch three predictions are made: by the branch alone
-(order 0, which starts from the header's frequencies), by the branch and the id before (order 1),
-and by the branch and the two ids before (order 2). Each is an adaptive probability with a count of
-what it has seen, which decides how fast it learns. The three are mixed in the logistic domain: their
-log odds are weighted and added, the sum is turned into a probability again, it drives a binary range
-coder, and the weights learn from the error; for each storey of the tree a set of weights is chosen by
-how much the orders 1 and 2 have seen. Coding is integer arithmetic and table lookup, so files read alike on every machine.
+An id is coded as the two steps that lead to its class in a tree of eight children a node, and its place
+inside the class by the header's frequencies. At each node three counts of its children are kept: by the
+node alone (order 0, which starts from the header's frequencies), by the node and the id before (order 1),
+and by the node and the two ids before (order 2). Counts age, so what came last counts most. The three
+are mixed: each order's counts are weighted and added, the child's part of the sum drives the range
+coder, and the weights learn: an order whose part in the counts of the child that came is above its
+part in all counts gains, others lose. For each storey of the tree a set of weights is chosen by how
+much the orders 1 and 2 have seen. The eight counts of a node are the bytes of one word (their sum is
+at most 248), so all children are counted, aged, weighted and summed up at once. Coding is integer
+arithmetic and table lookup, so files read alike on every machine.
 
 The range coder keeps 48 bits of range and writes 16 bits at a time; carries are resolved after the
 last id. Coding is sequential inside a block, so blocks are lanes of numpy arrays: step t codes id t
@@ -28,36 +30,29 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-MAGIC = b"CLT2"
-#: Probabilities have 12 bits; a state is a probability and a 4-bit count.
-BITS = 12
-ONE = 1 << BITS
-FULL, LEAST = np.int64(1 << 48), np.int64(1 << 32)
-#: The tree has STOREYS storeys of LEVELS levels; a context has ROOM slots for the branches of a storey, and
-#: GROUPS is how many contexts a block keeps for an order (more of them share slots).
-LEVELS, STOREYS, GROUPS = 3, 2, 256
-ROOM, CLASSES = 1 << LEVELS, 1 << LEVELS * STOREYS
-#: Log odds are in units of 1/256 up to REACH; weights in units of 1/16384, learning by 1/2**RATE.
-REACH, RATE, START, SETS = 2047, 10, (6000, 5500, 6500), 16
-FIRST = 7  # the count with which order 0 starts
+MAGIC = b"CLT3"
+FULL, LEAST = np.uint64(1 << 48), np.array([1 << 32], np.uint64)
+#: The tree has STOREYS storeys of WIDE children; a block keeps SLOTS nodes for each of the orders 1 and 2 (more of them share slots).
+WIDE, STOREYS, SLOTS = 8, 2, 2048
+CLASSES, NODES = WIDE ** STOREYS, 1 + WIDE
+#: A node's counts are the bytes of a word. By order: what is left out of them as they age, and what the child taken gets.
+AGED = np.array([[4], [3], [3]], np.uint64)
+AGED_MASK = np.array([[0x0F0F0F0F0F0F0F0F], [0x1F1F1F1F1F1F1F1F], [0x1F1F1F1F1F1F1F1F]], np.uint64)
+GAIN = np.array([[8], [24], [24]], np.uint64)
+FIRST = 120  # sum of the counts with which order 0 starts, about
+#: Weights: of order 0; of the others at first, at least and at most, in units of 1/256; their sets; their rate of learning 1/2**RATE.
+OWN, START, LIGHT, HEAVY, SETS, RATE = 8, 4 << 8, 1 << 8, 60 << 8, 25, 1
 SHARES = 1 << 15  # of a class, dealt to its ids
 SWEEPS = 12  # of the ordering
 
-
-def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """State after a 0 or a 1 (2 x 65536), log odds of a probability, and the probability of log odds."""
-    state = np.arange(1 << 16)
-    p, n = state >> 4, state & 15
-    share = np.array([2.0 ** 16 / (i + 1.6) for i in range(12)] + [2.0 ** 16 / x for x in (16, 20, 26, 32)]).astype(np.int64)[n]
-    moved = [np.clip(p + ((bit * ONE - p) * share >> 16), 16, ONE - 16) << 4 | np.minimum(n + 1, 15) for bit in (0, 1)]
-    odds = [max(-REACH, min(REACH, round(256 * math.log((x + 0.5) / (ONE - x - 0.5))))) for x in range(ONE)]
-    squashed = [min(ONE - 1, max(1, round(ONE / (1 + math.exp(-x / 256))))) for x in range(-REACH, REACH + 1)]
-    return np.concatenate(moved).astype(np.uint16), np.array(odds, np.int32), np.array(squashed, np.int32)
-
-
-NEXT, ODDS, SQUASHED = _tables()
-#: The set of weights for the counts of order 1 (lower four bits) and of order 2.
-SEEN = np.array([level[i & 15] + 4 * level[i >> 4] for level in [[0, 1, 2, 2] + [3] * 12] for i in range(256)], np.int64)
+# constants of numpy's loops, as arrays: scalars cost more
+BYTES, PAIRS, EVEN, TOPS, FIELD, BYTE, REST = (np.array([x], np.uint64) for x in (0x0101010101010101, 0x0001000100010001, 0x00FF00FF00FF00FF, 0x8000800080008000, 0xFFFF, 0xFF, 0xFFFFFFFF))
+U1, U3, U4, U8, U16, U32, U48, U56 = (np.array([x], np.uint64) for x in (1, 3, 4, 8, 16, 32, 48, 56))
+I1, I6, I8, ROUND_UP, LEAST_WEIGHT, MOST_WEIGHT, SCALE = (np.array([x], np.int64) for x in (1, 6, 8, 63, LIGHT, HEAVY, 30 + RATE))
+#: 2**30 / i
+SHARE = np.append(0, (1 << 30) // np.arange(1, 1 << 15)).astype(np.int64)
+#: Where the weights of a storey start, by how much order 1 has seen.
+SET = np.arange(STOREYS)[:, None] * SETS + 5 * np.arange(5)
 #: About 2**(i / 8): what a byte of the header says of an id's frequency.
 WEIGHT = np.array([round(2 ** (i / 8)) for i in range(256)], np.int64)
 
@@ -99,18 +94,24 @@ class Shape:
         ahead = np.cumsum(self.share) - self.share
         first = np.searchsorted(self.kind, np.arange(CLASSES))
         self.ahead = ahead - np.append(ahead, 0)[first][self.kind]
-        self.places = self.kind << 40 | self.ahead
-        masses = [mass]
-        while len(masses[-1]) > 1:
-            masses.append(masses[-1].reshape(-1, 2).sum(1))
-        # branch b of a level: how likely its right child is; slot (storey, way into it, branch inside it)
-        self.start = np.full((STOREYS, CLASSES, ROOM), ONE // 2, np.int64)
-        for level in range(LEVELS * STOREYS):
-            below = masses[LEVELS * STOREYS - 1 - level].reshape(-1, 2)
-            p = np.clip((below[:, 1] * ONE + ONE // 2) // np.maximum(1, below.sum(1)), 16, ONE - 16)
-            p = np.where(below.sum(1) > 0, p, ONE // 2)
-            storey, inside = divmod(level, LEVELS)
-            self.start[storey, np.arange(len(p)) >> inside, (1 << inside) + (np.arange(len(p)) & (1 << inside) - 1)] = p
+        self.which = None
+        # the counts of order 0 at first, by node: the root, then its children
+        self.start = np.concatenate([self._counts(mass.reshape(WIDE, -1).sum(1)[None]), self._counts(mass.reshape(-1, WIDE))])
+
+    def find(self, kind: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The symbols that hold these places of their classes."""
+        if self.which is None:
+            self.which = np.repeat(np.arange(len(self.share), dtype=np.int32), self.share)
+            own = np.bincount(self.kind, self.share, CLASSES).astype(np.int64)  # nothing of an empty class
+            self.first = np.cumsum(own) - own
+        at = self.first.take(kind)
+        at += place
+        return self.which.take(at, mode="clip").astype(np.int64)
+
+    @staticmethod
+    def _counts(masses: np.ndarray) -> np.ndarray:
+        counts = np.maximum(1, masses * FIRST // np.maximum(1, masses.sum(1, keepdims=True))).astype(np.uint64)
+        return np.bitwise_or.reduce(counts << np.arange(0, 8 * WIDE, 8, dtype=np.uint64), 1)
 
 
 class Lanes:
@@ -119,130 +120,184 @@ class Lanes:
     def __init__(self, shape: Shape, lengths: np.ndarray, symbols: np.ndarray | None, parts: list[bytes] | None):
         self.shape, self.lengths, self.writing = shape, lengths, parts is None
         n, most = len(lengths), int(lengths.max())
-        self.low, self.span, self.every = np.zeros(n, np.int64), np.full(n, FULL), np.arange(n)
+        self.low, self.span, self.every = np.zeros(n, np.uint64), np.full(n, FULL), np.arange(n)
         if parts is None:
-            self.symbols, self.words, self.filled = symbols, np.zeros((n, most + 8), np.int32), np.zeros(n, np.int64)
+            self.symbols, self.words, self.filled = symbols, np.zeros((most // 2 + 8, n), np.int32), np.zeros(n, np.int64)
         else:
             self.symbols = np.zeros((most, n), np.int32)
-            self.words = np.zeros((n, max(map(len, parts)) // 2 + 4), np.int64)
+            self.words = np.zeros((max(map(len, parts)) // 2 + 4, n), np.int32)
             for i, x in enumerate(parts):
-                self.words[i, : len(x) // 2] = np.frombuffer(x, "<u2")
-            self.low = self.words[:, 0] << 32 | self.words[:, 1] << 16 | self.words[:, 2]  # reading: the place in the range
+                self.words[: len(x) // 2, i] = np.frombuffer(x, "<u2")
+            self.low = self.words[0].astype(np.uint64) << U32 | self.words[1].astype(np.uint64) << U16 | self.words[2].astype(np.uint64)  # reading: the place in the range
             self.filled = np.full(n, 3)
 
     def shift(self, m: int) -> None:
         """Bring the range of the first m lanes above LEAST."""
-        while len(lanes := np.nonzero(self.span[:m] < LEAST)[0]):
-            self.span[lanes] <<= 16
-            to = self.filled[lanes]
+        while len(lanes := np.flatnonzero(self.span[:m] < LEAST)):
+            self.span[lanes] <<= U16
+            to, low = self.filled[lanes], self.low[lanes]
             if self.writing:
-                if to.max() + 5 >= self.words.shape[1]:
-                    self.words = np.pad(self.words, ((0, 0), (0, self.words.shape[1])))
-                low = self.low[lanes]
-                self.words[lanes, to] = low >> 32  # may hold a carry in bit 16
-                self.low[lanes] = (low & 0xFFFFFFFF) << 16
+                if to.max() + 5 >= len(self.words):
+                    self.words = np.pad(self.words, ((0, len(self.words)), (0, 0)))
+                self.words[to, lanes] = low >> U32  # may hold a carry in bit 16
+                low &= REST
+                low <<= U16
             else:
-                self.low[lanes] = self.low[lanes] << 16 | self.words[lanes, np.minimum(to, self.words.shape[1] - 1)]
-            self.filled[lanes] = to + 1
+                low <<= U16
+                low |= self.words[np.minimum(to, len(self.words) - 1), lanes].astype(np.uint64)
+            self.low[lanes] = low
+            to += 1
+            self.filled[lanes] = to
 
     def run(self) -> None:
         """Code all lanes, which stand by falling length."""
         shape, writing, symbols = self.shape, self.writing, self.symbols
         n = len(self.lengths)
-        # order 0 keeps every branch, the orders 1 and 2 share GROUPS groups each
-        groups = 1 + (1 << LEVELS)
-        own0 = np.concatenate([shape.start[0, 0], shape.start[1, : 1 << LEVELS].reshape(-1)]) << 4 | FIRST
-        size = (groups + 2 * GROUPS) * ROOM
-        table = np.empty((n, size), np.uint16)
-        table[:, : groups * ROOM] = own0
-        table[:, groups * ROOM :] = ONE // 2 << 4
+        # order 0 keeps every node (16 slots), the orders 1 and 2 share SLOTS slots each
+        size = 16 + 2 * SLOTS
+        table = np.zeros((n, size), np.uint64)
+        table[:, :NODES] = shape.start
         table = table.reshape(-1)
-        weights = np.repeat(np.array(START, np.int32), n * SETS)
-        ways = np.arange(3)[:, None]
+        weights = np.full(2 * n * STOREYS * SETS, START, np.int64)
         lane = np.arange(n)
-        region = lane * size + np.array([0, groups, groups + GROUPS])[:, None] * ROOM
-        sets = lane * SETS + ways * (n * SETS)
+        region = lane * size + np.array([[16], [16 + SLOTS]])
+        sets = lane * STOREYS * SETS + np.array([[0], [n * STOREYS * SETS]])
+        whole, share, start = shape.whole.astype(np.uint64), shape.share.astype(np.uint64), shape.ahead.astype(np.uint64)
+        children = shape.kind // WIDE, shape.kind % WIDE
         before, hashed = np.zeros(n, np.int64), np.zeros((2, n), np.int64)
         m = 0
         for t in range(int(self.lengths[0])):
             if (now := int(np.searchsorted(-self.lengths, -t, "left"))) != m:  # lanes longer than t
                 m = now
-                low, span, near, chosen = self.low[:m], self.span[:m], region[:, :m], sets[:, :m]
+                low, span, near, roots, chosen, hashes, last = self.low[:m], self.span[:m], region[:, :m], lane[:m] * size, sets[:, :m], hashed[:, :m], before[:m]
+                at, given = np.empty((3, m), np.int64), np.empty((2, m), np.int64)
+                # by even and odd children: counts by order; what was mixed of them, below the sums of the pairs before
+                fields, picked = np.empty((2, 3, m), np.uint64), np.empty((3, m), np.uint64)
+                by = np.full((3, m), OWN, np.int64)
+                light, ahead, mixed, left, right = by[1:], picked[0], picked[1:], picked[1], picked[2]
+                times = by.view(np.uint64)
             if writing:
                 symbol = symbols[t, :m].astype(np.int64)
-                aim = shape.kind.take(symbol)
-            kind = np.zeros(m, np.int64)
+                kind = shape.kind.take(symbol)
             for storey in range(STOREYS):
-                group = np.empty((3, m), np.int64)
-                group[0] = kind + 1 if storey else 0
-                np.add(hashed[:, :m], kind * 0x9E3779B1 + storey * 0x7F4A7C15, out=group[1:])
-                group[1:] >>= 3
-                group[1:] &= GROUPS - 1
-                group *= ROOM
-                group += near
-                inside = np.ones(m, np.int64)
-                for level in range(LEVELS):
-                    at = group + inside
-                    state = table.take(at).astype(np.int64)
-                    if not level:
-                        own = chosen + SEEN.take(state[1] & 15 | state[2] << 4 & 240)
-                        weight = weights.take(own)
-                    odds = ODDS.take(state >> 4)
-                    mixed = np.add.reduce(weight * odds, 0, np.int32)
-                    mixed >>= 14
-                    mixed += REACH
-                    p = SQUASHED.take(mixed, mode="clip")
-                    bound = span >> BITS  # the lower part of the range is a 1
-                    bound *= p
-                    if writing:
-                        bit = aim >> (LEVELS * (STOREYS - storey) - 1 - level) & 1
-                        rest = 1 - bit
-                        low += bound * rest
-                    else:
-                        rest = (low >= bound).view(np.int8)
-                        bit = 1 - rest.astype(np.int64)
-                        low -= bound * rest
-                    span[:] = np.where(rest, span - bound, bound)
-                    if storey * LEVELS + level & 1:  # two branches take 24 bits at most
-                        self.shift(m)
-                    state += bit << 16
-                    table[at] = NEXT.take(state)
-                    error = (bit << BITS).astype(np.int32)
-                    error -= p
-                    odds *= error
-                    odds >>= RATE
-                    weight += odds
-                    inside += inside
-                    inside += bit
-                weights[own] = weight
-                kind <<= LEVELS
-                kind += inside
-                kind -= 1 << LEVELS
-            unit = span // shape.whole.take(kind)
+                slot = hashes >> (20 - 9 * storey)
+                slot &= SLOTS - 1
+                if storey:
+                    way = child.view(np.int64)
+                    slot ^= way
+                    np.add(roots, way, out=at[0])
+                    at[0] += I1
+                else:
+                    at[0] = roots
+                np.add(slot, near, out=at[1:])
+                counts = table.take(at)
+                sums = counts * BYTES
+                sums >>= U56
+                sums = sums.view(np.int64)[1:]
+                seen = sums + ROUND_UP
+                seen >>= I6
+                own = SET[storey].take(seen[0])
+                own += seen[1]
+                own = chosen + own
+                weight = weights.take(own)
+                np.right_shift(weight, I8, out=light)
+                np.bitwise_and(counts, EVEN, out=fields[0])
+                odd = np.right_shift(counts, U8, out=fields[1])
+                odd &= EVEN
+                np.multiply(fields, times, out=fields)
+                np.add.reduce(fields, 1, out=mixed)
+                pairs = left + right
+                upto = pairs * PAIRS
+                total = upto >> U48
+                unit = span // total
+                if writing:
+                    child = children[storey].take(symbol).view(np.uint64)
+                    field = child >> U1
+                    other = child & U1
+                else:
+                    place = low // unit
+                    np.minimum(place, total - U1, out=place)
+                    field = place * PAIRS
+                    field |= TOPS
+                    field -= upto
+                    field &= TOPS
+                    field = np.bitwise_count(field).astype(np.uint64)
+                    child = field << U1
+                field <<= U4
+                np.subtract(upto, pairs, out=ahead)
+                np.right_shift(picked, field, out=picked)
+                np.bitwise_and(picked, FIELD, out=picked)
+                if not writing:
+                    place -= ahead
+                    other = (place >= left).astype(np.uint64)
+                    child += other
+                ahead += left * other
+                ahead *= unit
+                if writing:
+                    low += ahead
+                else:
+                    low -= ahead
+                # the counts of the child taken: left, or right if it is the other one
+                right -= left
+                right *= other
+                right += left
+                np.multiply(unit, right, out=span)
+                bits = child << U3
+                # a weight learns from its order's part in the child's counts, less that in all counts
+                given[0] = right
+                given[1] = total
+                part = SHARE.take(given)
+                got = counts[1:] >> bits
+                got &= BYTE
+                got = got.view(np.int64)
+                got *= part[0]
+                sums *= part[1]
+                got -= sums
+                got *= light
+                got *= weight
+                got >>= SCALE
+                got += weight
+                np.maximum(got, LEAST_WEIGHT, out=got)
+                np.minimum(got, MOST_WEIGHT, out=got)
+                weights[own] = got
+                old = counts >> AGED
+                old &= AGED_MASK
+                counts -= old
+                counts += GAIN << bits
+                table[at] = counts
+                if not writing:
+                    kind = kind * WIDE + child.view(np.int64) if storey else child.view(np.int64)
+            self.shift(m)
+            room = whole.take(kind)
+            unit = span // room
             if not writing:
-                place = np.minimum(low // unit, shape.whole.take(kind) - 1)
-                symbol = np.searchsorted(shape.places, kind << 40 | place, "right") - 1
-                np.maximum(symbol, 0, out=symbol)
+                place = np.minimum(low // unit, room - U1).view(np.int64)
+                symbol = shape.find(kind, place)
                 symbols[t, :m] = symbol
-            ahead = unit * shape.ahead.take(symbol)
-            low += ahead if writing else -ahead
-            np.multiply(unit, shape.share.take(symbol), out=span)
+            inner = unit * start.take(symbol)
+            if writing:
+                low += inner
+            else:
+                low -= inner
+            np.multiply(unit, share.take(symbol), out=span)
             self.shift(m)
-            hashed[0, :m] = symbol * 0x2545F491 + 0x3C6EF372
-            hashed[1, :m] = hashed[0, :m] + before[:m] * 0x14057B7F
-            before[:m] = symbol + 1
+            np.multiply(symbol, 0x2545F491, out=hashes[0])
+            np.add(hashes[0], last, out=hashes[1])
+            np.multiply(symbol, 0x14057B7F, out=last)
+            last += 0x14057B7F
 
     def parts(self) -> list[bytes]:
         """The written words of each block."""
-        words = np.pad(self.words, ((0, 0), (0, 3)))
+        words = np.pad(self.words, ((0, 3), (0, 0)))
         for _ in range(3):
-            words[self.every, self.filled] = self.low >> 32
+            words[self.filled, self.every] = self.low >> U32
             self.filled += 1
-            self.low = (self.low & 0xFFFFFFFF) << 16
+            self.low = (self.low & REST) << U16
         for j in range(int(self.filled.max()) - 1, 0, -1):
-            words[:, j - 1] += words[:, j] >> 16
-            words[:, j] &= 0xFFFF
-        return [words[i, : self.filled[i]].astype("<u2").tobytes() for i in self.every]
+            words[j - 1] += words[j] >> 16
+            words[j] &= 0xFFFF
+        words = words.astype("<u2").T.copy()
+        return [words[i, : self.filled[i]].tobytes() for i in self.every]
 
 
 def _numbered(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

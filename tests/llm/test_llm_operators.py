@@ -513,6 +513,65 @@ def test_codec_beats_order_0_on_real_texts(spark):
     assert (token_codec.decode(data) == ids).all()
 
 
+def test_codec_of_classes_without_ids():
+    """Very frequent ids span several classes' weights and leave classes empty; every id of every class is read back."""
+    rng = np.random.default_rng(4)
+    for power in (0.0, 1.0, 2.0, 3.0):
+        ids = np.minimum(rng.zipf(1.2 + power, 20_000), 3000) + rng.integers(0, 2, 20_000) * 5000
+        assert (token_codec.decode(token_codec.encode(ids, 700)) == ids).all()
+
+
+def test_pieces_by_runs_are_the_whole_tokenizers():
+    """Runs given to the model alone give the ids of the whole tokenizer, whatever stands in a text."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(TOKENIZER)
+    signs = ["a", "Z", "É", "ß", "ÿ", "Þ", "×", "÷", "ª", "µ", "1", "23", "½", ".", "...", "'", "'s", "'LL", "_", "-", "|", "<|endoftext|>", "<|ENDOFTEXT|>", "e\u0301", "\u0301", "\u0130", "\u1fef", "ﬁ", "\x00", "\x7f", "\x85", "\xa0", "\u2028", "日本", "😀", " ", "\t", "\n", "\x0b", "\x1c"]
+    rng = random.Random(8)
+    texts = ["".join(rng.choices(signs, k=rng.randrange(12))) for _ in range(3000)]
+    own = token_output.Pieces(TOKENIZER, True)
+    for _ in range(2):  # of new pieces, then of known ones
+        got = own.encode(texts)
+        assert [x.tolist() for x in got] == [whole.encode(t, add_special_tokens=False).ids + [1] for t in texts]
+
+
+def test_each_run_is_encoded_once():
+    """Pieces that differ only in case and marks share their runs, which go to the model alone; what is kept stays within its bound."""
+    own = token_output.Pieces(TOKENIZER, True)
+    asked = []
+    runs, ids = own._runs, own._ids
+    own._runs = lambda x: asked.extend(x) or runs(x)
+    own._ids = lambda x: asked.extend(x) or ids(x)
+    texts = ["Word word. word, (WORD) word! été, ÉTÉ", "word; été? it's"]
+    own.encode(texts)
+    assert len(asked) == len(set(asked)) and {"word", "été", "it's"} <= set(asked) and not {"Word", "WORD", "word.", "ÉTÉ", "été,"} & set(asked)
+    asked.clear()
+    own.encode(["word", "ÉTÉ"])
+    assert set(asked) <= {""}
+
+
+def test_rounds_keep_every_row():
+    import pyarrow as pa
+
+    sizes = [0, 5, token_output.AT_ONCE + 3, 0, token_output.AT_ONCE // 2, token_output.AT_ONCE // 2, 1, 7, token_output.AT_ONCE * 2]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(a, b)), pa.array(["x" * n for n in sizes[a:b]], pa.string())], ["key", "text"]) for a, b in ((0, 2), (2, 3), (3, 3), (3, 8), (8, 9))]
+    got = list(token_output.rounds(iter(batches)))
+    assert [k for x in got for k in x.column(0).to_pylist()] == list(range(len(sizes)))
+    assert all(x.num_rows == 1 or sum(sizes[k] for k in x.column(0).to_pylist()) <= token_output.AT_ONCE for x in got)
+
+
+def test_codec_counts_stay_within_their_bytes():
+    """Ids that come for long and then change: no node's counts sum up to more than a byte, none of order 0 vanishes."""
+    rng = np.random.default_rng(2)
+    counts = token_codec.Shape(np.arange(200, dtype=np.uint8)).start[:3].copy()
+    counts[1:] = 0
+    for child in np.repeat(rng.integers(0, 8, 4000), rng.integers(1, 60, 4000)).tolist():
+        counts -= counts >> token_codec.AGED[:, 0] & token_codec.AGED_MASK[:, 0]
+        counts += token_codec.GAIN[:, 0] << np.uint64(8 * child)
+        fields = counts[:, None] >> np.arange(0, 64, 8, dtype=np.uint64) & np.uint64(255)
+        assert fields.sum(1).max() <= 248 and fields[0].min() > 0
+
+
 def test_token_output(spark, tmp_path):
     from tokenizers import Tokenizer
 
