@@ -47,7 +47,7 @@ from .common import shared_path, shuffle_partitions, small_batches, trim, trimme
 from .token_codec import decode, encode
 
 END, SEGMENT, CACHE, PART, ROUND = 1, 1 << 21, 200_000, 128 << 20, 2048
-AT_ONCE = 8 << 20  # bytes of texts in a round, about
+AT_ONCE = 2 << 20  # bytes of texts in a round, about
 LETTERS, MARKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff", r"!-&(-/:-@\[-`{-~"
 PLAIN, RUN = f"^[{LETTERS}0-9{MARKS}]+\\z", f"([{LETTERS}]+|[0-9]|[{MARKS}]+)"  # for RE2
 _OPEN: dict[tuple[str, bool], Pieces] = {}
@@ -175,6 +175,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id", text:
         def flush() -> pa.RecordBatch:
             sizes, whole = [len(x) for x in ids], np.concatenate(ids)
             ids.clear()
+            trim()  # what the rounds took, before the coder takes its own
             columns = [pa.array([shard], pa.int32()), pa.array([number], pa.int32()), pa.array([keys], schema.field("keys").type), pa.array([sizes], pa.list_(pa.int32())), pa.array([n], pa.int64()), pa.array([encode(whole)], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, schema=schema)
 
