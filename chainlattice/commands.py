@@ -148,7 +148,7 @@ def parse_opensanctions(spark: SparkSession, a: argparse.Namespace) -> int:
 def parse_ofac_press_releases(spark: SparkSession, a: argparse.Namespace) -> int:
     links = feeds.action_links(feeds.read_texts(spark, a.index_dir))
     found = feeds.cached_pages(spark, a.cache_dir, links.limit(a.max_actions) if a.max_actions > 0 else links)
-    rows = pages.records(pages.address_actions(found), pages.about(found))
+    rows = pages.records(pages.address_actions(pages.recent(found)), pages.about(found))
     _json(rows.orderBy("source_url", "address", "chain"), a.output)
     return 0
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .chains import strip
+from .chains import let, strip
 
 ISO_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 # First year of each Japanese era less one.
@@ -26,8 +26,12 @@ def uk_date(text: Column) -> Column:
 
 def us_date(text: Column) -> Column:
     """M/D/YYYY rewritten as YYYY-MM-DD without a look at the calendar."""
-    part = lambda i: F.regexp_extract(strip(text), r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z", i)
-    return F.when(part(3) != "", F.concat_ws("-", part(3), F.lpad(part(1), 2, "0"), F.lpad(part(2), 2, "0")))
+
+    def turned(day: Column) -> Column:
+        part = lambda i: F.regexp_extract(day, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})\z", i)
+        return F.when(part(3) != "", F.concat_ws("-", part(3), F.lpad(part(1), 2, "0"), F.lpad(part(2), 2, "0")))
+
+    return let(strip(text), turned)
 
 
 def iso_date(text: Column) -> Column:
@@ -51,8 +55,12 @@ def any_date(text: Column) -> Column:
     return F.coalesce(iso_date(text), eu_date(text), uk_date(text), us_date(text), wareki_date(text))
 
 
+def link_day(link: Column) -> Column:
+    """The day that an action page's link names as yyyymmdd, or null."""
+    code = F.regexp_extract(F.substring_index(link, "/", -1), "[0-9]{8}", 0)
+    return let(code, lambda c: F.when(c != "", F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 2), F.substring(c, 7, 2))))
+
+
 def action_day(link: Column, published: Column) -> Column:
     """Day of an action page: yyyymmdd in its link, else a written US date, else the page's own date."""
-    code = F.regexp_extract(F.substring_index(link, "/", -1), "[0-9]{8}", 0)
-    slugged = F.concat_ws("-", F.substring(code, 1, 4), F.substring(code, 5, 2), F.substring(code, 7, 2))
-    return F.when(code != "", slugged).otherwise(F.coalesce(us_date(published), _parsed(published, "MMMM d, yyyy"), iso_date(published)))
+    return F.coalesce(link_day(link), let(published, lambda p: F.coalesce(us_date(p), _parsed(p, "MMMM d, yyyy"), iso_date(p))))

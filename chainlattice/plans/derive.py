@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns or "*")
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """Rows dealt over all tasks by key: a small file is one task, however much is made of each of its rows."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def evm(key: Column) -> Column:
     digest = F.md5(key.cast("string"))
     return F.concat(F.lit("0x"), digest, F.substring(digest, 1, 8))

@@ -14,7 +14,7 @@ from ..operators import bridges, mixers, pages, scan
 from ..schema import LABEL_SET
 from ..sources import feeds, ofac, registers, stores
 from .catalog import query
-from .derive import evm, evm_sql, pick, pick_sql, table
+from .derive import dealt, evm, evm_sql, pick, pick_sql, table
 from .landing import files, landed, place, tag
 
 # One payload a row as 0x-hex, and its base58check forms of versions 0x41, 0x00, 0x05 and 0x30.
@@ -450,7 +450,7 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.concat(F.left(pick(LEGACIES, o + 1), F.char_length(pick(LEGACIES, o + 1)) - 1), F.lit("1"))
     html = F.concat(F.lit("<h1>Title &amp; more</h1><p>"), head, F.lit("\n</p> wallets &#48;x"), F.substring(evm(F.col("o_custkey")), 3, 40), F.lit(" and "), pick(TRONS, o), F.lit("; Digital Currency Address - XBT "), pick(LEGACIES, o), F.lit("; Digital Currency Address - QQQ "), broken, F.lit("; no address "), broken, F.lit(" end"))
     day = pick(_DAYS, o)
-    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(o, F.concat(F.lit("/recent-actions/"), day, F.lit("/"), day, F.lit("?"), o.cast("string")).alias("link"), html.alias("html"))
-    out = pages.records(pages.address_actions(rows), pages.about(rows))
+    rows = dealt(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), "o_orderkey").select(o, F.concat(F.lit("/recent-actions/"), day, F.lit("/"), day, F.lit("?"), o.cast("string")).alias("link"), html.alias("html"))
+    out = pages.records(pages.address_actions(pages.recent(rows)), pages.about(rows))
     label = F.col("labels")[0]
     return out.select(F.substring_index("ofac_pr_link", "?", -1).cast("long").alias("o_orderkey"), "address", "chain", label["chain_evidence"].alias("evidence"), label["type"].alias("type"), "sanctioned", label["context"]["action_date"].alias("day"), label["name"].alias("name"))

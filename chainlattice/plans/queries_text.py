@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators import pages, probe, scan
 from ..sources import feeds, ofac, registers
 from .catalog import query
-from .derive import evm, evm_sql, pick, pick_sql, table
+from .derive import dealt, evm, evm_sql, pick, pick_sql, table
 
 
 @query(r"""select page_id, replace(replace(replace(replace(replace(escaped, '&quot;', '"'), '&#39;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') as title from (select page_id, nullif(trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')), '') as escaped from pages)""")
@@ -41,7 +41,7 @@ def page_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses printed under section headers."""
     o = F.col("o_orderkey")
     html = F.concat(F.lit("<p>"), pick(_HEADS, o), F.lit("\n</p> Digital Currency Address - ETH "), evm(F.col("o_custkey")), F.lit("; and more"))
-    rows = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(o.alias("link"), html.alias("html"))
+    rows = dealt(table(spark, sf_dir, "orders", "o_orderkey", "o_custkey"), "o_orderkey").select(o.alias("link"), html.alias("html"))
     return pages.address_actions(rows).select(F.col("link").alias("o_orderkey"), "address", "chain", "evidence", "action")
 
 

@@ -186,3 +186,16 @@ def test_endings_of_any_number(spark):
     got = rows.select("form", names.normalize_name(F.col("form")).alias("a"), "role", names.entity_root(F.col("role")).alias("b")).collect()
     assert {r.form: r.a for r in got if r.form is not None} == {f: looped(f) for f in forms}
     assert {r.b for r in got if r.role is not None} == {"Foo"}
+
+
+def test_places_look_for_matches_once():
+    """The matches are bound; each use of them looked through the text again."""
+    assert str(text.places(F.col("x"), "b+")).count("regexp_extract_all") == 1
+
+
+def test_base58_reads_any_digits(spark):
+    """The least and the greatest number of every length, as plain numbers say."""
+    texts = [d * n for n in range(1, base58.CHARS + 1) for d in "1zA"] + ["1" * n + B58[23 + n :] for n in range(35)]
+    want = ["00" * (len(t) - len(t.lstrip("1"))) + (lambda h: "0" * (len(h) % 2) + h)(f"{sum(B58.index(c) * 58**i for i, c in enumerate(reversed(t))):x}") for t in texts]
+    want = [w[:-2] if set(t) == {"1"} else w for t, w in zip(texts, want, strict=True)]  # no number is left
+    assert values(spark, base58.decode(F.col("x")), *texts) == want

@@ -283,3 +283,11 @@ def test_names_of_labels_are_mapped_once_each(spark):
     assert [(r.brand, r.n) for r in vasp_map.unmapped_brands(index).collect()] == [("binance okx", 2), ("(empty)", 1)]
     for rows in (index, vasp_map.unmapped_brands(index)):  # no rule in a filter, which Spark would push to every row
         assert not [x for x in rows._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "regexp_replace" in x]
+
+
+def test_pages_of_old_links_are_not_looked_through(spark):
+    rows = spark.createDataFrame([("/a/20181127", "x"), ("/a/20181128_33", "x"), ("/a/b", '<time datetime="2017-05-06">'), (None, "x")], "link string, html string")
+    assert [r.link for r in pages.recent(rows).collect()] == ["/a/20181128_33", "/a/b", None]
+    good, bad = "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNb"
+    found = spark.createDataFrame([("l", f"{good} {bad} ltc1{'q' * 39} LTC1Q")], "link string, html string")
+    assert {(r.address, r.chain) for r in pages.address_actions(found).collect()} == {(good, "bitcoin"), ("ltc1" + "q" * 39, "litecoin")}

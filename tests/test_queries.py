@@ -53,3 +53,11 @@ def test_entry(spark):
 def test_base58_keys_are_dealt_over_tasks(spark):
     tasks = QUERIES["base58_round_trip"](spark, SF).select("c_custkey", F.spark_partition_id().alias("task"))
     assert tasks.select("task").distinct().count() > 1
+
+
+def test_pages_are_dealt_over_tasks(spark):
+    """A small file is one task; orders are dealt before pages are made of them, and old pages aren't looked through."""
+    for name, sides in (("page_records", 2), ("page_actions", 1)):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == sides, name
+        assert len(plan) < 400_000, name  # a filter on the day, pushed down, held the page two hundred times
