@@ -44,6 +44,7 @@ FIRST = 120  # sum of the counts with which order 0 starts, about
 OWN, START, LIGHT, HEAVY, SETS, RATE = 8, 4 << 8, 1 << 8, 60 << 8, 25, 1
 SHARES = 1 << 15  # of a class, dealt to its ids
 SWEEPS = 12  # of the ordering
+EDGES = 1 << 17  # pairs that the ordering takes at a time, which bounds its memory
 
 # constants of numpy's loops, as arrays: scalars cost more
 BYTES, PAIRS, EVEN, TOPS, FIELD, BYTE, REST = (np.array([x], np.uint64) for x in (0x0101010101010101, 0x0001000100010001, 0x00FF00FF00FF00FF, 0x8000800080008000, 0xFFFF, 0xFF, 0xFFFFFFFF))
@@ -68,14 +69,28 @@ def ordered(symbols: np.ndarray, distinct: int) -> np.ndarray:
     np.add(pairs, symbols[1:], out=pairs, casting="unsafe")
     pairs.sort()
     first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-    times = np.diff(np.append(first, len(pairs)))
-    a, b = np.divmod(pairs[first].astype(np.int64), distinct)
+    times = np.empty(len(first), np.int32)
+    np.subtract(first[1:], first[:-1], out=times[:-1], casting="unsafe")
+    times[-1] = len(pairs) - first[-1]
+    pairs = pairs[first]
+    del first
+    a, b = (pairs // distinct).astype(np.int32), (pairs % distinct).astype(np.int32)
     del pairs
-    degree = np.bincount(a, times, distinct) + np.bincount(b, times, distinct) + 1e-9
+
+    def spread(at: np.ndarray) -> np.ndarray:
+        """What each symbol's neighbours hold, by the counts of the pairs, a part of the pairs at a time."""
+        out = np.zeros(distinct)
+        for i in range(0, len(times), EDGES):
+            x, y, n = a[i : i + EDGES], b[i : i + EDGES], times[i : i + EDGES]
+            out += np.bincount(x, at[y] * n, distinct)
+            out += np.bincount(y, at[x] * n, distinct)
+        return out
+
+    degree = spread(np.ones(distinct)) + 1e-9
     place = np.random.default_rng(1).standard_normal(distinct)
     for _ in range(SWEEPS):
         place -= (place * degree).sum() / degree.sum()
-        place = (np.bincount(a, place[b] * times, distinct) + np.bincount(b, place[a] * times, distinct)) / degree + 0.3 * place
+        place = spread(place) / degree + 0.3 * place
         place /= np.abs(place).max() + 1e-12
     return np.argsort(place, kind="stable")
 
@@ -125,7 +140,7 @@ class Lanes:
             self.symbols, self.words, self.filled = symbols, np.zeros((most // 2 + 8, n), np.int32), np.zeros(n, np.int64)
         else:
             self.symbols = np.zeros((most, n), np.int32)
-            self.words = np.zeros((max(map(len, parts)) // 2 + 4, n), np.int32)
+            self.words = np.zeros((max(map(len, parts)) // 2 + 4, n), np.uint16)
             for i, x in enumerate(parts):
                 self.words[: len(x) // 2, i] = np.frombuffer(x, "<u2")
             self.low = self.words[0].astype(np.uint64) << U32 | self.words[1].astype(np.uint64) << U16 | self.words[2].astype(np.uint64)  # reading: the place in the range
@@ -325,7 +340,8 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> bytes:
         rank[order] = np.arange(len(known), dtype=np.int32)
         levels = np.minimum(255, np.round(8 * np.log2(counts[order]))).astype(np.uint8)
         packed = zlib.compress(known[order].astype("<u4").tobytes() + levels.tobytes(), 6)
-        rows = np.zeros(len(lengths) * block, np.int32)
+        rank = rank.astype(np.uint16) if len(known) <= 1 << 16 else rank
+        rows = np.zeros(len(lengths) * block, rank.dtype)
         rank.take(symbols, out=rows[: len(ids)], mode="clip")
         del symbols
         rows = np.ascontiguousarray(rows.reshape(-1, block).T)
@@ -361,6 +377,7 @@ def decode(data: bytes) -> np.ndarray:
     raw = zlib.decompress(header[24 : 24 + packed])
     lanes = Lanes(Shape(np.frombuffer(raw, np.uint8, distinct, 4 * distinct)), np.array([h[0] for h in heads], np.int64), None, parts)
     lanes.run()
+    lanes.words = None
     ids = np.frombuffer(raw, "<u4", distinct)[lanes.symbols.T.reshape(-1)[:total]]
     for i, (size, _, check, _) in enumerate(heads):
         if zlib.crc32(ids[i * block : i * block + size]) != check:

@@ -486,6 +486,18 @@ def test_codec_packs_and_checks():
             token_codec.decode(broken)
 
 
+def test_codec_orders_in_little_memory():
+    """The ordering's tables of pairs took 44 bytes an id."""
+    import tracemalloc
+
+    symbols = np.random.default_rng(3).integers(0, 20_000, 1 << 18).astype(np.int32)
+    tracemalloc.start()
+    order = token_codec.ordered(symbols, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 * len(symbols) and sorted(order.tolist()) == list(range(20_000))
+
+
 def test_codec_of_the_least_likely_ids():
     """Long runs make their ids all but certain; then come others, of all classes, several in a row."""
     rng = np.random.default_rng(3)
